@@ -99,7 +99,10 @@ def _solve(nodes: DataFrame, parts: int, fragment: int) -> DataFrame:
     solved = _solve(quotient, max(1, min(parts // 2, -(-quotient.count() // fragment))), fragment)
     # A loop over several fragments holds every id on the ways between its quotient nodes.
     on_loop = stage(
-        solved.filter(F.col("state") == LOOP).select(F.explode(F.split("seg", "/")).cast("long").alias("id"), F.lit(True).alias("on_loop")).distinct(),
+        solved.filter(F.col("state") == LOOP)
+        .select(F.explode(F.split("seg", "/")).alias("x"))
+        .select(F.col("x").cast("long").alias("id"), F.lit(True).alias("on_loop"))
+        .distinct(),
         "loops",
     )
     s = solved.select(F.col("id").alias("s_id"), F.col("state").alias("s_state"), F.col("at").alias("s_at"), F.col("seg").alias("s_seg"), F.col("steps").alias("s_steps"))
