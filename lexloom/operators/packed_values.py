@@ -28,14 +28,15 @@ DELIMITERS = (",", ";", "،", "؛", "|", "\t", "\n")
 SHARE_BITS = 15
 LETTER_BITS = 6.5
 ESCAPE_BITS = 4.0
+SIGN_BITS = 8.0
 LONGEST_CODED = 200
-BLANKS = " \t\n\r\f\v   -     　"
+BLANKS = " \t\n\r\f\v\u00a0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
 
 
 @lru_cache(maxsize=512)
 def _grammar(delims: str, quotes: bool) -> re.Pattern:
     cls = re.escape(delims) if delims else r"\x00"
-    blank = "[" + "".join(re.escape(c) if c != "-" else c for c in BLANKS if c not in delims) + "]*"
+    blank = "[" + "".join(re.escape(c) for c in BLANKS if c not in delims) + "]*"
     plain = rf"[^{cls}]*" if delims else r".*"
     if not quotes:
         return re.compile(rf"(?P<plain>{plain})", re.S)
@@ -58,6 +59,7 @@ def _inner(m: re.Match) -> str:
     return next((x for x in (m.group("s"), m.group("c"), m.group("g")) if x is not None), "")
 
 
+_SIGNS = re.compile("[" + "".join(DELIMITERS) + ":=\"“”«»]")
 _SEPARATOR = re.compile(r"[:=]")
 
 
@@ -98,13 +100,18 @@ def _shape(field: str, dialect: tuple[str, bool]) -> str:
     return f"{how}/{dialect[1]}" if any(q in field for q in "\"'“«") else how
 
 
+def _spelled(token: str) -> float:
+    """Bits of a token without a code: its letters, and more for each sign that should have split or enclosed it."""
+    return ESCAPE_BITS + LETTER_BITS * (len(token) + 1) + SIGN_BITS * len(_SIGNS.findall(token))
+
+
 def _cost(field, dialect, entries, codes) -> float:
     bits = codes["shape"].get(_shape(field, dialect), 10.0)
     for label, value in entries:
         code = codes["label"].get(label)
-        bits += ESCAPE_BITS + LETTER_BITS * (len(label) + 1) + 8 if code is None else code
+        bits += _spelled(label) + 8 if code is None else code
         code = codes["value"].get(value)
-        bits += ESCAPE_BITS + LETTER_BITS * (len(value) + 1) if code is None else code
+        bits += _spelled(value) if code is None else code
     return bits
 
 
