@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..sources.tables import table
 from .encoding import restore
+from .leakage import find_leaks, leak_report
+from .truncation import find_truncated
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
@@ -15,5 +17,39 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return restore(fields, ["msg_id", "field_name"], "text").distinct()
 
 
-QUERIES = {"p3_found": p3_found}
-SQL: dict[str, str] = {}
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return find_leaks(table(spark, d, "documents", "doc_id", "text"), table(spark, d, "eval_items", "item_id", "text"), "doc_id", "text", "item_id", "text")
+
+
+def p8_items(spark: SparkSession, d: str) -> DataFrame:
+    return leak_report(p8_found(spark, d), "item_id", "doc_id")
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return find_truncated(table(spark, d, "documents", "doc_id", "text", "source"), "doc_id", "text", "source").select("doc_id").distinct()
+
+
+def p10_rates(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents", "doc_id", "text", "source")
+    cut = find_truncated(docs, "doc_id", "text", "source").select("doc_id").distinct().withColumn("cut", F.lit(1))
+    per = docs.select("doc_id", "source").join(cut, "doc_id", "left").groupBy("source")
+    return per.agg(F.count("*").alias("n_docs"), F.count("cut").alias("n_cut"), F.round(F.count("cut") / F.count("*"), 6).alias("cut_rate"))
+
+
+QUERIES = {
+    "p3_found": p3_found,
+    "p8_found": p8_found,
+    "p8_items": p8_items,
+    "p10_found": p10_found, "p10_rates": p10_rates}
+_P8 = r"""
+WITH w AS (
+  SELECT 'd' AS kind, doc_id AS id, list_filter(regexp_split_to_array(regexp_replace(lower(text), '[\p{P}\p{S}\x{064B}-\x{065F}\x{0670}]+', '', 'g'), '\s+'), x -> x <> '') AS words FROM documents
+  UNION ALL
+  SELECT 'i', item_id, list_filter(regexp_split_to_array(regexp_replace(lower(text), '[\p{P}\p{S}\x{064B}-\x{065F}\x{0670}]+', '', 'g'), '\s+'), x -> x <> '') FROM eval_items),
+g AS (SELECT kind, id, unnest(list_transform(range(1, len(words) - 8), i -> array_to_string(words[i:i+9], ' '))) AS gram FROM w WHERE len(words) >= 10)
+SELECT DISTINCT d.id AS doc_id, i.id AS item_id FROM g d JOIN g i ON d.gram = i.gram WHERE d.kind = 'd' AND i.kind = 'i'
+"""
+SQL: dict[str, str] = {
+    "p8_found": _P8,
+    "p8_items": f"SELECT item_id, count(*) AS n_docs FROM ({_P8}) GROUP BY item_id",
+}
