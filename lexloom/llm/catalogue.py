@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
+from .canonical import map_values, typed
 from .encoding import restore
 from .leakage import find_leaks, leak_report
+from .pii import find_personal, redact
 from .truncation import find_truncated
 
 
@@ -17,6 +19,30 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return restore(fields, ["msg_id", "field_name"], "text").distinct()
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    listed = table(spark, d, "canonical_word", "entry_id", "arabic")
+    items = table(spark, d, "corpus_item", "corpus_id", "item_id", "lemma")
+    lemmas = items.select(F.lit("corpus_item").alias("tbl"), "corpus_id", F.col("item_id").alias("row_id"), F.col("lemma").alias("value"))
+    words = table(spark, d, "word", "word_id", "arabic").select(F.lit("word").alias("tbl"), F.lit(0).alias("corpus_id"), F.col("word_id").alias("row_id"), F.col("arabic").alias("value"))
+    free = lemmas.unionByName(words).filter(typed(F.col("value"))).join(listed.select(F.col("arabic").alias("value")).distinct(), "value", "left_anti")
+    mapped = map_values(free, "value", listed, "entry_id", "arabic")
+    return free.join(mapped, "value").select("tbl", "corpus_id", "row_id", F.coalesce("entry_id", F.lit(-1)).alias("entry_id")).distinct()
+
+
+def p5_unmatched(spark: SparkSession, d: str) -> DataFrame:
+    return p5_found(spark, d).groupBy("tbl").agg(F.count("*").alias("n_typed"), F.count_if(F.col("entry_id") == -1).alias("n_unmatched"))
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "fb_jsons", "msg_id", "content")
+    return rows.join(find_personal(rows, "content"), "content").select("msg_id", "pii_kind", "val").distinct()
+
+
+def p7_redacted(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "fb_jsons", "msg_id", "content")
+    return rows.join(redact(rows, "content"), "content").select("msg_id", "redacted")
+
+
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return find_leaks(table(spark, d, "documents", "doc_id", "text"), table(spark, d, "eval_items", "item_id", "text"), "doc_id", "text", "item_id", "text")
 
@@ -38,6 +64,10 @@ def p10_rates(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     "p3_found": p3_found,
+    "p5_found": p5_found,
+    "p5_unmatched": p5_unmatched,
+    "p7_found": p7_found,
+    "p7_redacted": p7_redacted,
     "p8_found": p8_found,
     "p8_items": p8_items,
     "p10_found": p10_found, "p10_rates": p10_rates}
