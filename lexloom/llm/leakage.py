@@ -26,11 +26,17 @@ def plain_words(text: Column) -> Column:
     return F.filter(words, lambda w: w != "")
 
 
-def shingles(words: Column, size: int = SHINGLE) -> Column:
-    """Hashes of ``size`` consecutive words, by first word."""
-    hashed = F.transform(words, lambda w: F.xxhash64(w))
-    starts = F.when(F.size(words) >= size, F.sequence(F.lit(0), F.size(words) - size)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.xxhash64(*[F.get(hashed, i + k) for k in range(size)]))
+def with_shingles(df: DataFrame, words: str, out: str, size: int = SHINGLE) -> DataFrame:
+    """``df`` with the hashes of ``size`` consecutive words, by first word.
+
+    The hashes of the words are a column of their own, so that they are made once
+    a text and not once a shingle. To explode the result take posexplode_outer: for
+    the plain one the planner adds a filter that computes the whole array again.
+    """
+    hashed = df.withColumn("_h", F.transform(words, lambda w: F.xxhash64(w)))
+    starts = F.slice("_h", 1, F.greatest(F.size("_h") - (size - 1), F.lit(0)))
+    grams = F.transform(starts, lambda h, i: F.xxhash64(h, *[F.get(F.col("_h"), i + k) for k in range(1, size)]))
+    return hashed.withColumn(out, grams).drop("_h")
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, doc_key: str, doc_text: str, item_key: str, item_text: str, run: int = 10) -> DataFrame:
@@ -46,11 +52,12 @@ def find_leaks(docs: DataFrame, items: DataFrame, doc_key: str, doc_text: str, i
         items.select(F.col(item_key).alias("_item"), plain_words(F.col(item_text)).alias("_iwords")).filter(F.size("_iwords") >= run).dropDuplicates(["_item", "_iwords"]),
         "items",
     )
-    places = stage(known.select("_item", F.size("_iwords").alias("_isize"), F.posexplode(shingles(F.col("_iwords"))).alias("_ipos", "_sh")), "item_shingles")
+    places = stage(with_shingles(known, "_iwords", "_grams").select("_item", F.size("_iwords").alias("_isize"), F.posexplode_outer("_grams").alias("_ipos", "_sh")).filter("_sh IS NOT NULL"), "item_shingles")
     texts = docs.select(F.col(doc_key).alias("_doc"), F.col(doc_text).alias("_text"))
     worded = texts.select("_doc", plain_words(F.col("_text")).alias("_words"))
     postings = stage(
-        worded.select("_doc", F.size("_words").alias("_size"), F.posexplode(shingles(F.col("_words"))).alias("_pos", "_s"))
+        with_shingles(worded, "_words", "_grams")
+        .select("_doc", F.size("_words").alias("_size"), F.posexplode_outer("_grams").alias("_pos", "_s"))
         .join(places.select(F.col("_sh").alias("_s")).distinct(), "_s"),
         "postings",
     )
