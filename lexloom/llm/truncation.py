@@ -55,9 +55,10 @@ def candidates(docs: DataFrame, key: str, text: str, source: str) -> DataFrame:
 def vocabulary(docs: DataFrame, text: str) -> DataFrame:
     """(word, n): the words of all texts but for each text's last, which may be cut."""
     tokens = F.split(F.lower(text), LETTERS)
+    # explode_outer, as for explode the planner adds a filter that splits every text again.
     # The last element is empty if the text ends in a sign; its last word then counts, which a sign has closed.
     inner = F.slice(tokens, 1, F.greatest(F.size(tokens) - 1, F.lit(0)))
-    return docs.select(F.explode(inner).alias("word")).filter(F.col("word") != "").groupBy("word").agg(F.count("*").alias("n"))
+    return docs.select(F.explode_outer(inner).alias("word")).filter(F.col("word") != "").groupBy("word").agg(F.count("*").alias("n"))
 
 
 def trie(words: DataFrame) -> DataFrame:
@@ -71,7 +72,7 @@ def open_line_ends(docs: DataFrame, text: str) -> DataFrame:
     lines = F.split(F.regexp_replace(text, r"(?U)\s+$", ""), r"\s*\n\s*")
     inner = F.filter(F.slice(lines, 1, F.greatest(F.size(lines) - 1, F.lit(0))), lambda x: ~x.rlike(CLOSED))
     several = docs.filter(F.col(text).rlike(r"[^.!?؟…۔。'\"”»’)\]\s]\s*\n"))
-    return several.select(F.explode(inner).alias("line")).select(_last_word(F.col("line")).alias("word")).groupBy("word").agg(F.count("*").alias("ends"))
+    return several.select(F.explode_outer(inner).alias("line")).select(_last_word(F.col("line")).alias("word")).groupBy("word").agg(F.count("*").alias("ends"))
 
 
 def limits(ends: DataFrame) -> DataFrame:
