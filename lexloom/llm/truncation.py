@@ -16,12 +16,12 @@ from pyspark.sql import functions as F
 from ..session import stage
 
 CLOSED = r"(?:[.!?؟…۔。]['\"”»’)\]]*|['\")\]»”])$"
-LIST_LINE = r"^\s*(?:[*•–-]\s|\d{1,3}[.)]\s)|^[^\s:=.][^:=.]{0,40}(?::\s|\s=\s)|^(?:see also|voir aussi|véase|انظر)\s"
+LIST_LINE = r"^\s*(?:[*•–-]\s|\d{1,3}[.)]\s)|^[^\s:=.]+(?: [^\s:=.]+)?(?::\s|\s=\s)[^.]*$|^(?:see also|voir aussi|véase|انظر)\s"
 LETTERS = r"[^\p{L}\p{M}]+"
 #: A line that closes at least this share of the open-ended texts, and this many, is a sign-off.
 SIGN_OFF_SHARE, SIGN_OFF_LEAST = 0.001, 3
-#: A known word of this many uses that never ends an open line cannot end one by design.
-COMMON = 20
+#: A word that never ends an open line, though at the rate of all words it would this many times, cannot end one by design.
+EXPECTED = 5.0
 #: Open-ended texts of one source and length: this many, and this many times the source's mean, make a limit.
 LIMIT_LEAST, LIMIT_TIMES = 5, 8.0
 
@@ -98,7 +98,8 @@ def find_truncated(docs: DataFrame, key: str, text: str, source: str) -> DataFra
     finals = ends.filter("_word <> ''").select(F.col("_word").alias("f")).distinct()
     nodes = trie(words).join(finals, F.col("node") == F.col("f"), "left_semi")
     known = words.join(finals, F.col("word") == F.col("f"), "left_semi")
-    by_line = open_line_ends(docs, text).withColumnRenamed("word", "lw")
+    by_line = stage(open_line_ends(docs, text).withColumnRenamed("word", "lw"), "line_ends")
+    rate = (by_line.agg(F.sum("ends")).first()[0] or 0) / max(1, words.agg(F.sum("n")).first()[0] or 0)
     full = limits(ends)
     at = ends.select("*", F.explode(F.array(F.struct(F.lit("chars").alias("u"), F.col("_chars").alias("z")), F.struct(F.lit("bytes").alias("u"), F.col("_bytes").alias("z")))).alias("_m"))
     full_keys = at.join(full.select(F.col("_source").alias("s"), "unit", "size"), F.col("_source").eqNullSafe(F.col("s")) & (F.col("_m.u") == F.col("unit")) & (F.col("_m.z") == F.col("size")), "left_semi").select(key).distinct().withColumn("_full", F.lit(True))
@@ -114,7 +115,7 @@ def find_truncated(docs: DataFrame, key: str, text: str, source: str) -> DataFra
     )
     reason = (
         F.when(F.col("n").isNull() & (F.col("below") > 0), "prefix")
-        .when((F.col("n") >= COMMON) & F.col("ends").isNull(), "mid_line")
+        .when((F.col("n") * F.lit(rate) >= EXPECTED) & F.col("ends").isNull(), "mid_line")
         .when(F.col("_full"), "limit")
     )
     cut = seen.withColumn("reason", reason).filter(F.col("reason").isNotNull()).select(key, "_source", "reason")
