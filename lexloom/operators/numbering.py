@@ -27,7 +27,14 @@ def first_seen(df: DataFrame, keys: list[str], order: str, out: str = "seen_no")
     return number_rows(df.groupBy(*keys).agg(F.min(order).alias("first_at")), ["first_at", *keys], out)
 
 
+def number_within(df: DataFrame, group: list[str], order: list[str], out: str = "n") -> DataFrame:
+    """``df`` with a dense number from 1 within each group, however large the groups: the running number less the group's first. Null groups are left out."""
+    numbered = number_rows(df, [*group, *order], "_o")
+    first = numbered.groupBy(*group).agg(F.min("_o").alias("_f"))
+    return numbered.join(first, group).withColumn(out, F.col("_o") - F.col("_f") + 1).drop("_o", "_f")
+
+
 def next_ids(current: DataFrame, new: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """``new`` with ids that go on from the largest ``key`` of ``current``; one-row aggregate."""
-    top = current.agg(F.coalesce(F.max(key), F.lit(0)).alias("_top"))
-    return number_rows(new, order, "_o").join(F.broadcast(top)).withColumn(key, F.col("_top") + F.col("_o")).drop("_top", "_o")
+    """``new`` with ids that go on from the largest ``key`` of ``current``."""
+    top = current.agg(F.max(key)).first()[0] or 0
+    return number_rows(new, order, key, start=top + 1)

@@ -13,7 +13,7 @@ from ..operators import batches as B
 from ..operators import documents as D
 from ..operators import graph as G
 from ..operators.fuzzy import fuzzy_nearest
-from ..operators.numbering import first_seen, next_ids, number_rows
+from ..operators.numbering import first_seen, next_ids, number_rows, number_within
 from ..sources.readers import read_csv, tolerant
 from ..sources.tables import table
 from ..sources.writers import split_rejects, write_csv
@@ -258,8 +258,8 @@ def form_catalogue(s, d):
 def next_ids_per_type(s, d):
     c = table(s, d, "customer", "c_custkey", "c_mktsegment")
     top = c.filter("c_custkey % 2 = 0").groupBy("c_mktsegment").agg(F.max("c_custkey").alias("m"))
-    n = F.row_number().over(Window.partitionBy("c_mktsegment").orderBy("c_custkey"))
-    return c.filter("c_custkey % 2 = 1").join(top, "c_mktsegment", "left").select("c_custkey", "c_mktsegment", (F.coalesce("m", F.lit(0)) + n).alias("new_id"))
+    numbered = number_within(c.filter("c_custkey % 2 = 1"), ["c_mktsegment"], ["c_custkey"])
+    return numbered.join(top, "c_mktsegment", "left").select("c_custkey", "c_mktsegment", (F.coalesce("m", F.lit(0)) + F.col("n")).alias("new_id"))
 
 
 @query("SELECT (SELECT coalesce(max(entry_id), 0) FROM canonical_word) + row_number() OVER (ORDER BY s_suppkey) AS entry_id, s_suppkey FROM supplier")

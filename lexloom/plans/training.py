@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,14 +53,14 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
         F.lit("corpus_item").alias("tbl"), "corpus_id", F.col("item_id").alias("row_id"), "loaded_at", F.concat(F.lit("s:"), root_spelling(F.col("root"))).alias("ref")
     )
     roots = table(spark, d, "sem_root", "id", "rad1", "rad2", "rad3", "rad4", "loaded_at", "deleted_at")
-    letters = table(spark, d, "sem_lang", "id", "script").filter("id = 1").select(F.split(F.max("script"), r"\s*,\s*").alias("letters"))
-    spelled = roots.join(F.broadcast(letters))  # one row
-    radical = [F.coalesce(F.when(F.col(r) >= 0, F.get("letters", F.col(r))), F.lit("")) for r in ("rad1", "rad2", "rad3", "rad4")]
+    script = table(spark, d, "sem_lang", "id", "script").filter("id = 1").agg(F.max("script")).first()[0] or ""  # one alphabet
+    letters = F.array(*map(F.lit, re.split(r"\s*,\s*", script)))
+    radical = [F.coalesce(F.when(F.col(r) >= 0, F.get(letters, F.col(r))), F.lit("")) for r in ("rad1", "rad2", "rad3", "rad4")]
     loaded, deleted = F.col("loaded_at"), F.col("deleted_at")
     known = (
         parents(table(spark, d, "sem_word", "id", "loaded_at"), F.concat(F.lit("w:"), F.col("id").cast("string")), loaded)
         .unionByName(parents(roots, F.concat(F.lit("r:"), F.col("id").cast("string")), loaded, deleted))
-        .unionByName(parents(spelled, F.concat(F.lit("s:"), F.translate(F.concat(*radical), ALIFS, "ا" * len(ALIFS))), loaded, deleted))
+        .unionByName(parents(roots, F.concat(F.lit("s:"), F.translate(F.concat(*radical), ALIFS, "ا" * len(ALIFS))), loaded, deleted))
     )
     found = find_orphans(word_refs.unionByName(item_refs), known, "ref", "loaded_at")
     return found.select("tbl", "corpus_id", "row_id", F.date_format("loaded_at", "yyyy-MM").alias("ref_month"), "orphan_kind").distinct()

@@ -4,7 +4,7 @@ from lexloom.operators import batches as B
 from lexloom.operators import documents as D
 from lexloom.operators import graph as G
 from lexloom.operators.fuzzy import fuzzy_nearest
-from lexloom.operators.numbering import number_rows
+from lexloom.operators.numbering import number_rows, number_within
 
 CUR, NEW = [(1, "a", 1), (2, "b", 2)], [(2, "B", 5, None), (2, "BB", 6, None), (3, "c", 7, 3)]
 
@@ -91,3 +91,11 @@ def test_documents(spark):
     a = spark.createDataFrame([(1, "x", [1, 2]), (2, "y", [3])], "id int, s string, l array<int>")
     b = spark.createDataFrame([(1, "x", [2, 1]), (2, "z", [3]), (9, "q", [1])], "id int, s string, l array<int>")
     assert [tuple(r) for r in D.deep_diff(a, b, "id").collect()] == [(2, "s", "y", "z")]
+
+
+def test_numbers_within_a_hot_group(spark):
+    df = spark.range(600).select(F.when(F.col("id") % 3 > 0, "hot").otherwise(F.concat(F.lit("g"), (F.col("id") % 9).cast("string"))).alias("g"), "id")
+    got = number_within(df, ["g"], ["id"]).collect()
+    for g in {r.g for r in got}:
+        own = sorted((r.id, r.n) for r in got if r.g == g)
+        assert [n for _, n in own] == list(range(1, len(own) + 1))
