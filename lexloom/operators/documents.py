@@ -110,3 +110,31 @@ def deep_diff(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     b = right.select(key, *[canon(right, c).alias(f"_r_{c}") for c in shared])
     entries = F.array(*[F.struct(F.lit(c).alias("field"), F.col(f"_l_{c}").alias("left_value"), F.col(f"_r_{c}").alias("right_value")) for c in shared])
     return a.join(b, key).select(key, F.explode(F.filter(entries, lambda e: ~e["left_value"].eqNullSafe(e["right_value"]))).alias("e")).select(key, "e.*")
+
+
+def contents_rows(lines: DataFrame, order: str, line: str) -> DataFrame:
+    """(chapter_no, chapter, section, path) of a table of contents: lines that begin with '-' are sections of the chapter above.
+
+    Raises nothing for a section before any chapter: its chapter is null, for the
+    caller to reject. Blank lines are skipped. One table of contents is one task.
+    """
+    text = F.trim(line)
+    rows = lines.filter(text != "").select(F.col(order).alias("o"), text.alias("t"), F.lit(0).alias("g"))
+    head = F.when(~F.col("t").startswith("-"), F.struct("o", "t"))
+    filled = fill_headers(rows, "g", "o", head)
+    title = lambda c: F.trim(F.replace(F.replace(c, F.lit(","), F.lit("")), F.lit("/"), F.lit(" or ")))
+    numbered = filled.withColumn("chapter_no", F.dense_rank().over(Window.partitionBy("g").orderBy("header.o")))
+    section = F.when(F.col("t").startswith("-"), title(F.regexp_replace("t", "^-+", "")))
+    chapter = title(F.col("header.t"))
+    return numbered.select("chapter_no", chapter.alias("chapter"), section.alias("section"), F.concat_ws("/", chapter, section).alias("path"))
+
+
+def nested_rows(pages: DataFrame, *levels: str) -> DataFrame:
+    """Nested arrays of structs flattened level by level, parents kept as prefixed columns."""
+    df = pages
+    for level in levels:
+        rest = [c for c in df.columns if c != level]
+        opened = df.select(*rest, F.explode_outer(level).alias("_e"))
+        inner = opened.schema["_e"].dataType.fieldNames()
+        df = opened.select(*[F.col(c) for c in rest], *[F.col(f"_e.{f}").alias(f if f not in rest else f"{level}_{f}") for f in inner])
+    return df

@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions import tables as V
 from ..functions import text as X
 from ..operators import batches as B
 from ..operators import documents as D
@@ -211,6 +212,25 @@ def top3_children(s, d):
     return rows.withColumn("n", F.row_number().over(w).cast("long")).filter("n <= 3")
 
 
+@query("SELECT l_linenumber, l_linestatus, CASE WHEN l_linestatus = 'O' THEN [NULL, 'فَعَلَ', 'فَاعَلَ', 'فَعَّلَ', 'أَفْعَلَ', 'تَفَعَّلَ', 'تَفَاعَلَ', 'انْفَعَلَ'][l_linenumber + 1] WHEN l_linenumber <= 4 THEN ['فَعْلَلَ', 'تَفَعْلَلَ', 'افْعَنْلَلَ', 'افْعَلَلَّ'][l_linenumber] END AS weight, count(*) AS n FROM lineitem GROUP BY ALL")
+def weights(s, d):
+    code = F.concat(F.when(F.col("l_linestatus") == "O", "").otherwise("R. Q. "), F.col("l_linenumber").cast("string"))
+    rows = table(s, d, "lineitem", "l_linenumber", "l_linestatus")
+    return rows.groupBy("l_linenumber", "l_linestatus", V.weight_of(code).alias("weight")).agg(_count())
+
+
+@query("SELECT doc_id, len(regexp_extract_all(text, '[\\p{L}\\p{M}\\p{N}]+|[^\\s\\p{L}\\p{M}\\p{N}]')) AS n_tokens FROM documents")
+def token_counts(s, d):
+    return table(s, d, "documents", "doc_id", "text").select("doc_id", V.token_count(F.col("text")).cast("long").alias("n_tokens"))
+
+
+@query("SELECT o_orderkey, count(*) AS n_lines, CAST(sum(l_linenumber) AS BIGINT) AS line_sum FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_orderkey")
+def nested_rows(s, d):
+    lines = table(s, d, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").groupBy("l_orderkey").agg(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey")).alias("lines"))
+    pages = table(s, d, "orders", "o_orderkey").join(lines, F.col("o_orderkey") == F.col("l_orderkey")).select("o_orderkey", "lines")
+    return D.nested_rows(pages, "lines").groupBy("o_orderkey").agg(_count("n_lines"), F.sum("l_linenumber").alias("line_sum"))
+
+
 @query("SELECT CASE form WHEN 'I' THEN '1' WHEN 'II' THEN '2' WHEN 'III' THEN '3' WHEN 'IV' THEN '4' ELSE 'UNKNOWN' END AS form_id, count(*) AS n FROM word GROUP BY 1")
 def dictionary_lookup(s, d):
     forms = {"I": "1", "II": "2", "III": "3", "IV": "4"}

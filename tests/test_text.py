@@ -3,7 +3,9 @@ import unicodedata
 import pytest
 from pyspark.sql import functions as F
 
+from lexloom.functions import tables as V
 from lexloom.functions import text as X
+from lexloom.operators import documents as D
 
 
 def one(spark, value, *columns, kind="string"):
@@ -43,3 +45,19 @@ def test_classes_types_and_parts(spark):
     assert one(spark, "LEM:x", X.feature_flag(F.col("x"), {"M": "m"})) == (None,)
     assert one(spark, "abcdef", X.ellipsis(F.col("x"), 3), X.hyphenate(F.col("x"))) == ("abc...", "a-b-c-d-e-f")
     assert one(spark, "ktb", X.to_arabic(F.col("x"))) == ("كتب",)
+
+
+def test_tables_and_providers(spark):
+    for code, want in (("4", "أَفْعَلَ"), ("Q. Q. 2", "تَفَعْلَلَ"), ("R.Q.1", "فَعْلَلَ"), ("Q.3", "افْعَنْلَلَ"), ("99", None), (None, None)):
+        assert one(spark, code, V.weight_of(F.col("x"))) == (want,)
+    assert one(spark, "اسم العلة", V.form_number(F.col("x")), V.pattern_name(F.col("x"))) == (9, "UNKNOWN")
+    assert one(spark, "a b, c", V.token_count(F.col("x")), V.token_count(F.col("x"), len), V.analyses(F.col("x"), lambda w: [])) == (4, 6, ["NA"])
+    assert one(spark, " ab\r\n", V.clean_filename(F.col("x")), V.code_points(F.lit("ab"))) == ("AB", "61 62")
+
+
+def test_contents_and_nesting(spark):
+    lines = [(1, "-lost"), (2, "One, a/b"), (3, ""), (4, "- x"), (5, "Two"), (6, "-y")]
+    got = [tuple(r)[1:] for r in D.contents_rows(spark.createDataFrame(lines, "n int, l string"), "n", "l").collect()]
+    assert got == [(None, "lost", "lost"), ("One a or b", None, "One a or b"), ("One a or b", "x", "One a or b/x"), ("Two", None, "Two"), ("Two", "y", "Two/y")]
+    nested = spark.createDataFrame([("p", [("d", [("r1",), ("r2",)])])], "name string, dbs array<struct<name:string,rows:array<struct<title:string>>>>")
+    assert [tuple(r) for r in D.nested_rows(nested, "dbs", "rows").collect()] == [("p", "d", "r1"), ("p", "d", "r2")]
