@@ -140,7 +140,8 @@ def _forms(text: str) -> set[str]:
 def words(texts: DataFrame, column: str) -> DataFrame:
     """(token, n): the distinct words of ``texts`` that hold more than ASCII."""
     return stage(
-        texts.select(F.explode(F.regexp_extract_all(column, F.lit(WORD), F.lit(0))).alias("token"))
+        # explode_outer: for explode the planner adds a filter that extracts every text's words again.
+        texts.select(F.explode_outer(F.regexp_extract_all(column, F.lit(WORD), F.lit(0))).alias("token"))
         .filter(F.col("token").rlike(r"[^\x00-\x7f]"))
         .groupBy("token")
         .agg(F.count("*").alias("n")),
@@ -184,7 +185,7 @@ def masked_ends(rows: DataFrame, tokens: DataFrame, keys: list[str]) -> DataFram
     mask = tokens.filter(~F.col("token").rlike(SUSPICIOUS)).select(F.regexp_replace("token", r"[^\x00-\x7f]", "?").alias("_end"))
     ends = mask.filter(F.col("_end").rlike(r"^[A-Za-z]+\?+$")).distinct()
     shape = r"(?<![\p{L}\p{M}?-])[A-Za-z]+\?+(?![\p{L}\p{M}?])"
-    there = rows.filter(F.col("_text").rlike(r"[A-Za-z]\?")).select(*keys, F.explode(F.regexp_extract_all("_text", F.lit(shape), F.lit(0))).alias("_end"))
+    there = rows.filter(F.col("_text").rlike(r"[A-Za-z]\?")).select(*keys, F.explode_outer(F.regexp_extract_all("_text", F.lit(shape), F.lit(0))).alias("_end"))
     return there.join(ends, "_end", "left_semi").select(*keys).distinct()
 
 
@@ -204,7 +205,7 @@ def restore(texts: DataFrame, keys: list[str], column: str) -> DataFrame:
     gone = rows.filter(lost).select(*keys).unionByName(ended).withColumn("restored", F.lit(""))
     mapping = stage(originals(tokens), "originals")
     suspicious = rows.filter(~lost & F.col("_text").rlike(SUSPICIOUS)).join(ended, keys, "left_anti").dropDuplicates(keys)
-    parts = suspicious.select(*keys, F.posexplode(F.regexp_extract_all("_text", F.lit(SEGMENT), F.lit(0))).alias("_pos", "_seg"))
+    parts = suspicious.select(*keys, F.posexplode_outer(F.regexp_extract_all("_text", F.lit(SEGMENT), F.lit(0))).alias("_pos", "_seg"))
     fixed = (
         parts.join(mapping, F.col("_seg") == F.col("token"), "left")
         .groupBy(*keys)
