@@ -7,6 +7,8 @@ our own chosen.
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -39,6 +41,7 @@ def scratch_root(spark: SparkSession) -> str:
     app = spark.sparkContext.applicationId
     if app not in _LOCAL_SCRATCH:
         _LOCAL_SCRATCH[app] = tempfile.mkdtemp(prefix="lexloom-")
+        atexit.register(shutil.rmtree, _LOCAL_SCRATCH[app], ignore_errors=True)
         spark.sparkContext.setCheckpointDir("file://" + _LOCAL_SCRATCH[app])
     return "file://" + _LOCAL_SCRATCH[app]
 
