@@ -2,10 +2,12 @@
 
 A text that does not end in a closing sign is a candidate. Lines that end without
 one by design (list entries, verse, sign-offs) are told apart, and for those the
-last word decides: it is cut if a trie of the corpus's words has it as a proper
-prefix of known words but not as a word, if it is a common word that never ends
-such a line, or if the text's length is a limit of its source. Prose that stops
-without a closing sign is cut.
+last line decides: it is cut if a trie of the corpus's words has its last word as
+a proper prefix of known words but not as a word, if the word is one that hardly
+ever ends such a line, if the line is a proper prefix of a recurring line shape,
+or if the text's length is a limit of its source. Prose that stops without a
+closing sign is cut. Evidence is taken from shares and from distinct lines, so
+that repeated texts change no verdict.
 """
 
 from __future__ import annotations
@@ -17,22 +19,36 @@ from ..session import stage
 
 CLOSED = r"(?:[.!?؟…۔。]['\"”»’)\]]*|['\")\]»”])$"
 LIST_LINE = r"^\s*(?:[*•–-]\s|\d{1,3}[.)]\s)|^[^\s:=.]+(?: [^\s:=.]+)?(?::\s|\s=\s)[^.]*$|^(?:see also|voir aussi|véase|انظر)\s"
+#: Stands for any token in a line shape; no token is blank.
+SLOT = " "
+#: All white space of Unicode.
+WHITE = "\t\n\x0b\f\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 LETTERS = r"[^\p{L}\p{M}]+"
 #: A line that closes at least this share of the open-ended texts, and this many, is a sign-off.
 SIGN_OFF_SHARE, SIGN_OFF_LEAST = 0.001, 3
-#: A word that never ends an open line, though at the rate of all words it would this many times, cannot end one by design.
+#: A word that hardly ever ends an open line, though by its share of all words it would end this many distinct ones, cannot end one by design.
 EXPECTED = 5.0
+#: Of the ends that a word should have by its share, those that may be strays.
+STRAY_WORD = 0.05
+#: A token with this share of all tokens in open lines is a fixed part of line shapes; others are slots. At most 1 / FIXED_SHARE are fixed.
+FIXED_SHARE = 0.0025
+#: A beginning that this many distinct lines have recurs; at most this share of them may end where it is judged to be cut.
+SHAPE_LEAST, STRAY_LINE = 20, 0.02
 #: Open-ended texts of one source and length: this many, and this many times the source's mean, make a limit.
 LIMIT_LEAST, LIMIT_TIMES = 5, 8.0
 
 
+def _ended(text: Column) -> Column:
+    return F.rtrim(text, F.lit(WHITE))
+
+
 def _last_word(line: Column) -> Column:
     return F.lower(F.regexp_extract(line, r"([\p{L}\p{M}]+)[^\p{L}\p{M}]*$", 1))
 
 
 def candidates(docs: DataFrame, key: str, text: str, source: str) -> DataFrame:
     """Texts that end without a closing sign, with what their end looks like."""
-    body = F.regexp_replace(F.col(text), r"(?U)\s+$", "")
+    body = _ended(F.col(text))
     open_ended = docs.select(F.col(key), F.col(source).alias("_source"), F.col(text).alias("_text"), body.alias("_body")).filter(
         (F.col("_body") != "") & ~F.col("_body").rlike(CLOSED)
     )
@@ -67,12 +83,46 @@ def trie(words: DataFrame) -> DataFrame:
     return words.filter(F.length("word") > 1).select(F.explode(ways).alias("node")).groupBy("node").agg(F.count("*").alias("below"))
 
 
-def open_line_ends(docs: DataFrame, text: str) -> DataFrame:
-    """(word, ends): the words that end lines without a closing sign, but for each text's last line."""
-    lines = F.split(F.regexp_replace(text, r"(?U)\s+$", ""), r"\s*\n\s*")
+def open_lines(docs: DataFrame, text: str) -> DataFrame:
+    """(line, times): the distinct lines without a closing sign, but for each text's last line."""
+    lines = F.split(_ended(F.col(text)), r"\s*\n\s*")
     inner = F.filter(F.slice(lines, 1, F.greatest(F.size(lines) - 1, F.lit(0))), lambda x: ~x.rlike(CLOSED))
     several = docs.filter(F.col(text).rlike(r"[^.!?؟…۔。'\"”»’)\]\s]\s*\n"))
-    return several.select(F.explode_outer(inner).alias("line")).select(_last_word(F.col("line")).alias("word")).groupBy("word").agg(F.count("*").alias("ends"))
+    return several.select(F.explode_outer(inner).alias("line")).filter("line <> ''").groupBy("line").agg(F.count("*").alias("times"))
+
+
+def line_ends(lines: DataFrame) -> DataFrame:
+    """(word, ends): the words that end open lines."""
+    return lines.select(_last_word(F.col("line")).alias("word"), "times").groupBy("word").agg(F.sum("times").alias("ends"))
+
+
+def _tokens(line: Column) -> Column:
+    return F.split(F.lower(F.trim(line)), r"\s+")
+
+
+def shape_prefixes(lines: DataFrame) -> tuple[DataFrame, list[str]]:
+    """(begins, next, lines, stops): for each beginning of a line shape and the token after it, the distinct lines that have it and that end with it; the fixed tokens."""
+    tokens = lines.select(F.explode(_tokens(F.col("line"))).alias("t")).groupBy("t").agg(F.count("*").alias("n"))
+    total = tokens.agg(F.sum("n")).first()[0] or 0
+    fixed = sorted(r.t for r in tokens.filter(F.col("n") >= max(1.0, FIXED_SHARE * total)).select("t").collect())  # at most 1 / FIXED_SHARE
+    at = lines.select(_shape(F.col("line"), fixed).alias("s")).select("s", F.posexplode("s").alias("i", "next"))
+    begins = F.concat_ws(" ", F.slice("s", F.lit(1), F.col("i")))
+    return at.groupBy(begins.alias("begins"), "next").agg(F.count("*").alias("lines"), F.count_if(F.col("i") + 1 == F.size("s")).alias("stops")), fixed
+
+
+def _shape(line: Column, fixed: list[str]) -> Column:
+    return F.transform(_tokens(line), lambda x: F.when(x.isin(fixed), x).otherwise(SLOT))
+
+
+def begun_shapes(styled: DataFrame, lines: DataFrame, key: str) -> DataFrame:
+    """(key): texts whose last line begins a recurring shape and stops where that goes on."""
+    shapes, fixed = shape_prefixes(lines)
+    s = _shape(F.col("_line"), fixed)
+    ends = styled.select(key, F.concat_ws(" ", F.slice(s, F.lit(1), F.size(s) - 1)).alias("_begins"), F.element_at(_tokens(F.col("_line")), -1).alias("_token"))
+    ends = ends.filter("_begins <> ''")
+    met = ends.join(shapes, (F.col("_begins") == F.col("begins")) & ((F.col("next") == SLOT) | F.col("next").startswith(F.col("_token"))))
+    found = met.groupBy(key).agg(F.sum("lines").alias("lines"), F.sum("stops").alias("stops"))
+    return found.filter((F.col("lines") >= SHAPE_LEAST) & (F.col("stops") <= STRAY_LINE * F.col("lines"))).select(key)
 
 
 def limits(ends: DataFrame) -> DataFrame:
@@ -98,8 +148,11 @@ def find_truncated(docs: DataFrame, key: str, text: str, source: str) -> DataFra
     finals = ends.filter("_word <> ''").select(F.col("_word").alias("f")).distinct()
     nodes = trie(words).join(finals, F.col("node") == F.col("f"), "left_semi")
     known = words.join(finals, F.col("word") == F.col("f"), "left_semi")
-    by_line = stage(open_line_ends(docs, text).withColumnRenamed("word", "lw"), "line_ends")
-    rate = (by_line.agg(F.sum("ends")).first()[0] or 0) / max(1, words.agg(F.sum("n")).first()[0] or 0)
+    lines = stage(open_lines(docs, text), "lines")
+    by_line = line_ends(lines).withColumnRenamed("word", "lw")
+    n_lines, n_ends = lines.agg(F.count("*"), F.sum("times")).first()
+    n_words = max(1, words.agg(F.sum("n")).first()[0] or 0)
+    rate = (n_ends or 0) / n_words
     full = limits(ends)
     at = ends.select("*", F.explode(F.array(F.struct(F.lit("chars").alias("u"), F.col("_chars").alias("z")), F.struct(F.lit("bytes").alias("u"), F.col("_bytes").alias("z")))).alias("_m"))
     full_keys = at.join(full.select(F.col("_source").alias("s"), "unit", "size"), F.col("_source").eqNullSafe(F.col("s")) & (F.col("_m.u") == F.col("unit")) & (F.col("_m.z") == F.col("size")), "left_semi").select(key).distinct().withColumn("_full", F.lit(True))
@@ -107,15 +160,18 @@ def find_truncated(docs: DataFrame, key: str, text: str, source: str) -> DataFra
         ends.filter("NOT _list AND NOT _verse").join(F.broadcast(signs), "_line", "left_anti").withColumn("reason", F.lit("prose")).select(key, "_source", "reason")
     )
     styled = ends.filter("_list OR _verse").join(F.broadcast(signs), "_line", "left_anti")
+    begun = begun_shapes(styled, lines, key).withColumn("_begun", F.lit(True))
     seen = (
         styled.join(nodes, F.col("_word") == F.col("node"), "left")
         .join(known, F.col("_word") == F.col("word"), "left")
         .join(by_line, F.col("_word") == F.col("lw"), "left")
+        .join(begun, key, "left")
         .join(full_keys, key, "left")
     )
     reason = (
         F.when(F.col("n").isNull() & (F.col("below") > 0), "prefix")
-        .when((F.col("n") * F.lit(rate) >= EXPECTED) & F.col("ends").isNull(), "mid_line")
+        .when((F.col("n") * F.lit(n_lines / n_words) >= EXPECTED) & (F.coalesce("ends", F.lit(0)) <= F.col("n") * F.lit(rate * STRAY_WORD)), "mid_line")
+        .when(F.col("_begun"), "mid_line")
         .when(F.col("_full"), "limit")
     )
     cut = seen.withColumn("reason", reason).filter(F.col("reason").isNotNull()).select(key, "_source", "reason")

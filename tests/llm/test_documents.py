@@ -63,6 +63,25 @@ def test_truncation(spark):
     assert find_truncated(df.limit(0), "doc_id", "text", "source").count() == 0
 
 
+def test_mid_line_evidence_does_not_depend_on_size(spark):
+    rng = random.Random(5)
+
+    def word():
+        return "".join(rng.choice("bdfgklmprstvz") + rng.choice("aeiou") for _ in range(3))
+
+    def line():
+        return f"{word()} for the {word()} and {word()} for the {word()}"
+
+    docs = [(i, "\n".join(line() for _ in range(8)), "v") for i in range(12)] + [(100 + i, f"The kiln is an old one, {word()}.", "a") for i in range(20)]
+    cut = [(200, f"{line()}\n{line()}\n{word()} for the {word()} an", "v"), (201, f"{line()}\n{line()}\n{word()} for the", "v")]
+    once = spark.createDataFrame(docs + cut, "doc_id long, text string, source string")
+    assert {r.doc_id for r in find_truncated(once, "doc_id", "text", "source").collect()} == {200, 201}
+    ten = once.withColumn("doc_id", F.explode(F.transform(F.sequence(F.lit(0), F.lit(9)), lambda i: F.col("doc_id") * 10 + i)))
+    assert {r.doc_id for r in find_truncated(ten, "doc_id", "text", "source").collect()} == {i * 10 + k for i in (200, 201) for k in range(10)}
+    stray = once.unionByName(spark.createDataFrame([(300, "an old kiln for an\nand then it ended.", "a")], once.schema))
+    assert {r.doc_id for r in find_truncated(stray, "doc_id", "text", "source").collect()} == {200, 201}
+
+
 def test_tokens_are_those_of_the_tokenizer():
     for t in ["Hello  world's\n\n end", "كَتَبَ الولد", "a" * 500, "", "  x\t\ty ", "don't 123,456 — ok"]:
         assert count_tokens(t) == len(_encoding(TOKENIZER).encode_ordinary(t))
