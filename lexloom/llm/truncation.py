@@ -17,7 +17,9 @@ from pyspark.sql import functions as F
 
 from ..session import stage
 
-CLOSED = r"(?:[.!?؟…۔。]['\"”»’)\]]*|['\")\]»”])$"
+#: What closes a text: a sentence sign, a bracket, or a quote that has its opening partner. An apostrophe after a letter opens none.
+SENTENCE = r"[.!?؟…۔。]['\"”»’)\]]*$|[)\]]$"
+QUOTED = r"(?:«[^«»]*(?:«[^«»]*»[^«»]*)*»|[“\"„][^”“\"]*”|‘[^’]*+(?:(?<=[\p{L}\p{M}])’(?=\p{L})[^’]*+)*+’|(?:^|[\s(\[«“\"])'(?=\S)[^'\n]*+(?:(?<=[\p{L}\p{M}])'(?=\p{L})[^'\n]*+)*+')$"
 LIST_LINE = r"^\s*(?:[*•–-]\s|\d{1,3}[.)]\s)|^[^\s:=.]+(?: [^\s:=.]+)?(?::\s|\s=\s)[^.]*$|^(?:see also|voir aussi|véase|انظر)\s"
 #: Stands for any token in a line shape; no token is blank.
 SLOT = " "
@@ -38,6 +40,13 @@ SHAPE_LEAST, STRAY_LINE = 20, 0.02
 LIMIT_LEAST, LIMIT_TIMES = 5, 8.0
 
 
+def _closed(text: Column) -> Column:
+    """Whether a text or line ends in a closing sign."""
+    last = F.right(text, F.lit(1))
+    paired = (last == '"') & (F.length(F.regexp_replace(text, '[^"]+', "")) % 2 == 0)
+    return text.rlike(SENTENCE) | (last.isin("'", '"', "»", "”", "’") & (paired | text.rlike(QUOTED)))
+
+
 def _ended(text: Column) -> Column:
     return F.rtrim(text, F.lit(WHITE))
 
@@ -50,11 +59,11 @@ def candidates(docs: DataFrame, key: str, text: str, source: str) -> DataFrame:
     """Texts that end without a closing sign, with what their end looks like."""
     body = _ended(F.col(text))
     open_ended = docs.select(F.col(key), F.col(source).alias("_source"), F.col(text).alias("_text"), body.alias("_body")).filter(
-        (F.col("_body") != "") & ~F.col("_body").rlike(CLOSED)
+        (F.col("_body") != "") & ~_closed(F.col("_body"))
     )
     lines = F.filter(F.split("_body", "\n"), lambda x: F.trim(x) != "")
     shaped = open_ended.withColumn("_lines", lines).withColumn("_line", F.element_at("_lines", -1)).withColumn("_before", F.slice("_lines", 1, F.size("_lines") - 1))
-    free = F.size(F.filter("_before", lambda x: ~x.rlike(CLOSED) & ~x.rlike(LIST_LINE)))
+    free = F.size(F.filter("_before", lambda x: ~_closed(x) & ~x.rlike(LIST_LINE)))
     return shaped.select(
         key,
         "_source",
@@ -86,8 +95,8 @@ def trie(words: DataFrame) -> DataFrame:
 def open_lines(docs: DataFrame, text: str) -> DataFrame:
     """(line, times): the distinct lines without a closing sign, but for each text's last line."""
     lines = F.split(_ended(F.col(text)), r"\s*\n\s*")
-    inner = F.filter(F.slice(lines, 1, F.greatest(F.size(lines) - 1, F.lit(0))), lambda x: ~x.rlike(CLOSED))
-    several = docs.filter(F.col(text).rlike(r"[^.!?؟…۔。'\"”»’)\]\s]\s*\n"))
+    inner = F.filter(F.slice(lines, 1, F.greatest(F.size(lines) - 1, F.lit(0))), lambda x: ~_closed(x))
+    several = docs.filter(F.col(text).rlike(r"[^.!?؟…۔。)\]\s]\s*\n"))
     return several.select(F.explode_outer(inner).alias("line")).filter("line <> ''").groupBy("line").agg(F.count("*").alias("times"))
 
 

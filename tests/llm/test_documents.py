@@ -63,6 +63,14 @@ def test_truncation(spark):
     assert find_truncated(df.limit(0), "doc_id", "text", "source").count() == 0
 
 
+def test_quotes_close_only_with_their_partner(spark):
+    whole = ["He read 'the jar'", 'She said "the bowl"', "Il lit «la cruche»", "He read “the jar”", "She said ‘don’t go’", "It is said (of jars)", "They asked 'is it l'eau'", 'It was "done."', "La fin.'"]
+    cut = ["Une racine parmi d'", "Le sens de l'", "Il faut qu’", "Il dit 'oui' et puis d'", 'Then it said jars"', "On lit la cruche»", "the learners'", 'He "read" the jar"']
+    df = spark.createDataFrame(list(enumerate(whole + cut)), "doc_id int, text string").withColumn("source", F.lit("a"))
+    got = {r.doc_id for r in find_truncated(df, "doc_id", "text", "source").collect()}
+    assert got == set(range(len(whole), len(whole) + len(cut)))
+
+
 def test_mid_line_evidence_does_not_depend_on_size(spark):
     rng = random.Random(5)
 
