@@ -41,6 +41,7 @@ def strip_article(c: Column) -> Column:
     """A leading article, with or without its alif, and the marks around it."""
     out = F.regexp_replace(c, "^[اٱ]?ل(?=.{2})", "")
     out = F.regexp_replace(out, f"^{WIDE_MARKS}{{1,2}}", "")
+    out = F.regexp_replace(out, "^\u0651", "")
     return F.regexp_replace(out, f"{WIDE_MARKS}$", "")
 
 

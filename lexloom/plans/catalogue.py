@@ -365,7 +365,7 @@ def strip_and_normalize(s, d):
 
 @query("SELECT DISTINCT arabic, CASE WHEN regexp_matches(arabic, '^[اٱ]?ل..') THEN regexp_replace(arabic, '^[اٱ]?ل', '') ELSE arabic END AS bare FROM word WHERE arabic IS NOT NULL AND NOT regexp_matches(arabic, '[\\x{064B}-\\x{0655}]') AND NOT contains(arabic, chr(10))")
 def article_strip(s, d):
-    w = table(s, d, "word", "arabic").filter(F.col("arabic").isNotNull() & ~F.col("arabic").rlike(X.WIDE_MARKS) & ~F.col("arabic").contains("\n")).distinct()
+    w = table(s, d, "word", "arabic").filter(F.col("arabic").isNotNull()).distinct()
     return w.select("arabic", X.strip_article(F.col("arabic")).alias("bare"))
 
 
