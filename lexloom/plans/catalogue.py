@@ -184,9 +184,11 @@ l AS (SELECT word, min(o) AS o FROM (SELECT unnest(string_split(p_name, ' ')) AS
 m AS (SELECT token, word, levenshtein(token, word) AS distance, row_number() OVER (PARTITION BY token ORDER BY levenshtein(token, word), o, word) AS r FROM t, l WHERE levenshtein(token, word) <= 2)
 SELECT token, word, CAST(distance AS INT) AS distance FROM m WHERE r = 1""")
 def fuzzy_nearest_words(s, d):
-    tokens = table(s, d, "word", "english").filter("english IS NOT NULL").select(F.explode(F.regexp_extract_all("english", F.lit("[a-z]{4,8}"), F.lit(0))).alias("token"))
-    words = table(s, d, "part", "p_partkey", "p_name").select(F.explode(F.split("p_name", " ")).alias("word"), F.col("p_partkey").alias("o"))
-    lexicon = words.filter(F.col("word").rlike("^[a-z]{3,9}$")).groupBy("word").agg(F.min("o").alias("o"))
+    def whole(c):
+        return F.explode(F.regexp_extract_all(F.lower(c), F.lit(r"[\p{L}\p{M}]+"), F.lit(0)))
+    tokens = table(s, d, "word", "english").select(whole(X.nullify(F.col("english"), "NA")).alias("token"))
+    words = table(s, d, "part", "p_partkey", "p_name").select(whole(F.col("p_name")).alias("word"), F.col("p_partkey").alias("o"))
+    lexicon = words.groupBy("word").agg(F.min("o").alias("o"))
     return fuzzy_nearest(tokens, "token", lexicon, "word", "o")
 
 

@@ -27,3 +27,31 @@ def test_article_strip_takes_words_with_marks(spark, tmp_path):
     got = result(spark, d, "article_strip")
     assert sorted(got) == sorted((w, bare(w)) for w in given)
     assert ("ٱلرَّحْمَنُ", "رَّحْمَن") in got and ("الَّذِي", "ذِي") in got and ("ال\u064e\u064f\u0651يل", "يل") in got
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_fuzzy_nearest_takes_whole_words(spark, tmp_path):
+    english = ["vow; jar", "Threading a needle", "stitching", "NA", None, "café, scattering", "scatterings of grain"]
+    names = [(1, "new hot rod"), (2, "Gear caffe ox"), (3, "unthreading stitching"), (4, "scattering needles"), (5, None), (6, "rod")]
+    d = tables(spark, tmp_path, word=([(e,) for e in english], "english string"), part=(names, "p_partkey long, p_name string"))
+    tokens = {t for e in english if e and e != "NA" for t in re.findall(r"[^\W\d_]+", e.lower())}
+    lexicon = {}
+    for o, n in names:
+        for w in (n or "").lower().split():
+            lexicon[w] = min(o, lexicon.get(w, o))
+    want = []
+    for t in tokens:
+        n, _, w = min((distance(t, w), o, w) for w, o in lexicon.items())
+        if n <= 2:
+            want.append((t, w, n))
+    got = result(spark, d, "fuzzy_nearest_words")
+    assert sorted(got) == sorted(want)
+    assert {("vow", "hot", 2), ("jar", "gear", 2), ("threading", "unthreading", 2), ("scatterings", "scattering", 1)} <= set(got)
