@@ -373,7 +373,8 @@ def article_strip(s, d):
 
 @query(f"SELECT DISTINCT lemma, translate(lemma, '{X.BUCKWALTER.replace(chr(39), chr(39) * 2)}', '{X.ARABIC}') AS arabic FROM corpus_item WHERE regexp_full_match(lemma, '[A-Za-z$*~]+')")
 def buckwalter(s, d):
-    rows = table(s, d, "corpus_item", "lemma").filter(F.col("lemma").rlike(r"^[A-Za-z$*~]+\z")).distinct()
+    letters = "".join("\\" + x if not x.isalnum() else x for x in X.BUCKWALTER)
+    rows = table(s, d, "corpus_item", "lemma").filter(F.col("lemma").rlike(rf"^[{letters}]+\z")).distinct()
     return rows.select("lemma", X.to_arabic(F.col("lemma")).alias("arabic"))
 
 

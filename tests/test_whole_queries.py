@@ -55,3 +55,11 @@ def test_fuzzy_nearest_takes_whole_words(spark, tmp_path):
     got = result(spark, d, "fuzzy_nearest_words")
     assert sorted(got) == sorted(want)
     assert {("vow", "hot", 2), ("jar", "gear", 2), ("threading", "unthreading", 2), ("scatterings", "scattering", 1)} <= set(got)
+
+
+def test_buckwalter_takes_the_whole_alphabet(spark, tmp_path):
+    lemmas = [">mED", ">*ft", "kitAb", "sa'ala", "mu&min", "|mana", "<ilay", "bi}r", "{som", "r_Hm`n", *X.BUCKWALTER]
+    others = ["قلم", "muzāšaṯah", "cf. reef?", "ktb\n", "", None]
+    d = tables(spark, tmp_path, corpus_item=([(x,) for x in lemmas + others + lemmas[:2]], "lemma string"))
+    table = str.maketrans(X.BUCKWALTER, X.ARABIC)
+    assert sorted(result(spark, d, "buckwalter")) == sorted((x, x.translate(table)) for x in lemmas)
