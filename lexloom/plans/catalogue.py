@@ -291,8 +291,8 @@ def next_ids_global(s, d):
 
 @query("SELECT sura_index, aya_index, count(*) AS n, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY item_id) AS items FROM (SELECT DISTINCT item_id, sura_index, aya_index FROM corpus_item WHERE corpus_id = 2) GROUP BY 1, 2")
 def collect_positions(s, d):
-    items = table(s, d, "corpus_item", "corpus_id", "item_id", "sura_index", "aya_index").filter("corpus_id = 2").drop("corpus_id").distinct()
-    return items.groupBy("sura_index", "aya_index").agg(_count(), F.concat_ws(",", F.transform(F.array_sort(F.collect_list("item_id")), lambda x: x.cast("string"))).alias("items"))
+    items = table(s, d, "corpus_item", "corpus_id", "item_id", "sura_index", "aya_index").distinct()
+    return items.groupBy("corpus_id", "sura_index", "aya_index").agg(_count(), F.concat_ws(",", F.transform(F.array_sort(F.collect_list("item_id")), lambda x: x.cast("string"))).alias("items"))
 
 
 @query("SELECT corpus_id, item_id, row_number() OVER (PARTITION BY corpus_id, sura_index, aya_index ORDER BY item_id) AS position FROM (SELECT DISTINCT corpus_id, item_id, sura_index, aya_index FROM corpus_item)")
@@ -517,7 +517,8 @@ def match_set(s, d):
 @query("SELECT DISTINCT 'HAS_ORDER' AS rel, o_custkey AS src_id, o_orderkey AS dst_id FROM orders")
 def merge_edge(s, d):
     e = table(s, d, "orders", "o_custkey", "o_orderkey").select(F.lit("HAS_ORDER").alias("rel"), F.col("o_custkey").alias("src_id"), F.col("o_orderkey").alias("dst_id"))
-    return G.merge_edges(e, e.filter("dst_id % 3 = 0"))
+    # Of the new edges those with an even dst_id that is no multiple of 3 are there already.
+    return G.merge_edges(e.filter("NOT dst_id % 3 <=> 0"), e.filter("dst_id % 3 = 0 OR dst_id % 2 = 0"))
 
 
 @query("SELECT DISTINCT p_brand, c AS radical, i AS position FROM (SELECT p_brand, unnest(regexp_extract_all(p_brand, '.')) AS c, generate_subscripts(regexp_extract_all(p_brand, '.'), 1) AS i FROM part)")

@@ -63,3 +63,25 @@ def test_buckwalter_takes_the_whole_alphabet(spark, tmp_path):
     d = tables(spark, tmp_path, corpus_item=([(x,) for x in lemmas + others + lemmas[:2]], "lemma string"))
     table = str.maketrans(X.BUCKWALTER, X.ARABIC)
     assert sorted(result(spark, d, "buckwalter")) == sorted((x, x.translate(table)) for x in lemmas)
+
+
+def test_merge_edge_inserts_and_keeps(spark, tmp_path, monkeypatch):
+    d = tables(spark, tmp_path, orders=([(i % 4, i) for i in range(1, 25)] + [(1, 1), (9, None)], "o_custkey long, o_orderkey long"))
+    want = sorted([("HAS_ORDER", i % 4, i) for i in range(1, 25)] + [("HAS_ORDER", 9, None)], key=str)
+    assert sorted(result(spark, d, "merge_edge"), key=str) == want
+    parts = []
+    monkeypatch.setattr("lexloom.operators.graph.merge_edges", lambda current, new: parts.extend([set(map(tuple, x.collect())) for x in (current, new)]) or current)
+    QUERIES["merge_edge"](spark, d)
+    current, new = parts
+    assert new - current and new & current and current - new
+
+
+def test_collect_positions_keeps_corpora_apart(spark, tmp_path):
+    rows = [(c, i, 1, i % 2) for c in (1, 2, 3) for i in range(c, 12)]
+    d = tables(spark, tmp_path, corpus_item=(rows + rows[:3], "corpus_id int, item_id long, sura_index int, aya_index int"))
+    want = []
+    for c in (1, 2, 3):
+        for a in (0, 1):
+            ids = [i for i in range(c, 12) if i % 2 == a]
+            want.append((c, 1, a, len(ids), ",".join(map(str, ids))))
+    assert sorted(result(spark, d, "collect_positions")) == want
