@@ -6,7 +6,7 @@ last line decides: it is cut if a trie of the corpus's words has its last word a
 a proper prefix of known words but not as a word, if the word is one that hardly
 ever ends such a line, if the line is a proper prefix of a recurring line shape,
 or if the text's length is a limit of its source. Prose that stops without a
-closing sign is cut. Evidence is taken from shares and from distinct lines, so
+closing sign is cut; trie and limits say of it why, where they can. Evidence is taken from shares and from distinct lines, so
 that repeated texts change no verdict.
 """
 
@@ -165,23 +165,22 @@ def find_truncated(docs: DataFrame, key: str, text: str, source: str) -> DataFra
     full = limits(ends)
     at = ends.select("*", F.explode(F.array(F.struct(F.lit("chars").alias("u"), F.col("_chars").alias("z")), F.struct(F.lit("bytes").alias("u"), F.col("_bytes").alias("z")))).alias("_m"))
     full_keys = at.join(full.select(F.col("_source").alias("s"), "unit", "size"), F.col("_source").eqNullSafe(F.col("s")) & (F.col("_m.u") == F.col("unit")) & (F.col("_m.z") == F.col("size")), "left_semi").select(key).distinct().withColumn("_full", F.lit(True))
-    judged = (
-        ends.filter("NOT _list AND NOT _verse").join(F.broadcast(signs), "_line", "left_anti").withColumn("reason", F.lit("prose")).select(key, "_source", "reason")
-    )
-    styled = ends.filter("_list OR _verse").join(F.broadcast(signs), "_line", "left_anti")
-    begun = begun_shapes(styled, lines, key).withColumn("_begun", F.lit(True))
+    unsigned = ends.join(F.broadcast(signs), "_line", "left_anti")
+    begun = begun_shapes(unsigned.filter("_list OR _verse"), lines, key).withColumn("_begun", F.lit(True))
     seen = (
-        styled.join(nodes, F.col("_word") == F.col("node"), "left")
+        unsigned.join(nodes, F.col("_word") == F.col("node"), "left")
         .join(known, F.col("_word") == F.col("word"), "left")
         .join(by_line, F.col("_word") == F.col("lw"), "left")
         .join(begun, key, "left")
         .join(full_keys, key, "left")
     )
+    styled = F.col("_list") | F.col("_verse")
     reason = (
         F.when(F.col("n").isNull() & (F.col("below") > 0), "prefix")
-        .when((F.col("n") * F.lit(n_lines / n_words) >= EXPECTED) & (F.coalesce("ends", F.lit(0)) <= F.col("n") * F.lit(rate * STRAY_WORD)), "mid_line")
+        .when((F.col("n") * F.lit(n_lines / n_words) >= EXPECTED) & (F.coalesce("ends", F.lit(0)) <= F.col("n") * F.lit(rate * STRAY_WORD)) & styled, "mid_line")
         .when(F.col("_begun"), "mid_line")
         .when(F.col("_full"), "limit")
+        .when(~styled, "prose")
     )
     cut = seen.withColumn("reason", reason).filter(F.col("reason").isNotNull()).select(key, "_source", "reason")
-    return judged.unionByName(cut).withColumnRenamed("_source", source).distinct()
+    return cut.withColumnRenamed("_source", source).distinct()

@@ -63,6 +63,12 @@ def test_truncation(spark):
     assert find_truncated(df.limit(0), "doc_id", "text", "source").count() == 0
 
 
+def test_trie_judges_prose_too(spark):
+    docs = [(i, "The bowl stands next to the kiln.", "a") for i in range(20)] + [(30, "The bowl stands next to the ki", "a"), (31, "The bowl stands next to the", "a")]
+    df = spark.createDataFrame(docs, "doc_id int, text string, source string")
+    assert {r.doc_id: r.reason for r in find_truncated(df, "doc_id", "text", "source").collect()} == {30: "prefix", 31: "prose"}
+
+
 def test_quotes_close_only_with_their_partner(spark):
     whole = ["He read 'the jar'", 'She said "the bowl"', "Il lit «la cruche»", "He read “the jar”", "She said ‘don’t go’", "It is said (of jars)", "They asked 'is it l'eau'", 'It was "done."', "La fin.'"]
     cut = ["Une racine parmi d'", "Le sens de l'", "Il faut qu’", "Il dit 'oui' et puis d'", 'Then it said jars"', "On lit la cruche»", "the learners'", 'He "read" the jar"']
