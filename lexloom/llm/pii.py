@@ -3,7 +3,7 @@
 Each distinct text is labelled once. A span the tagger finds is then checked: its
 ends are moved to those of the written form of its kind that it overlaps, and a
 span that overlaps none is kept only if its kind has no written form or it is as
-it stands a plausible one. The check never adds a span of its own.
+it stands a plausible e-mail address or address. The check never adds a span of its own.
 """
 
 from __future__ import annotations
@@ -48,6 +48,19 @@ def tagger() -> Tagger:
         return Tagger(weights=dict(w))
 
 
+#: What a span of no known form must look like as a whole.
+PLAUSIBLE = {"email": re.compile(rf"[^\s@]+{_AT}[^\s@]+(?:{_DOT}[^\s@]+)*{_DOT}{_L}{{2,}}"), "address": re.compile(rf"(?=.*{_N})(?=.*{_L}{{2}})\S+(?: \S+)+")}
+
+
+def _as_it_stands(text: str, kind: str, lo: int, hi: int) -> tuple[str, int, int] | None:
+    """A span of no known form, without the signs around it; None if it is not plausible."""
+    while lo < hi and text[lo] in _EDGE:
+        lo += 1
+    while hi > lo and text[hi - 1] in _EDGE:
+        hi -= 1
+    return (kind, lo, hi) if kind in PLAUSIBLE and PLAUSIBLE[kind].fullmatch(text[lo:hi]) else None
+
+
 def check(text: str, kind: str, lo: int, hi: int) -> tuple[str, int, int] | None:
     """A span with its ends set right; None if it can be no such thing."""
     if kind == "person":
@@ -75,7 +88,9 @@ def check(text: str, kind: str, lo: int, hi: int) -> tuple[str, int, int] | None
         shared = min(hi, m.end()) - max(lo, m.start())
         if shared > 0 and (best is None or shared > best[0]):
             best = (shared, m.start(), m.end())
-    if best is None or best[0] * 2 < hi - lo:
+    if best is None:
+        return _as_it_stands(text, kind, lo, hi)
+    if best[0] * 2 < hi - lo:
         return None
     lo, hi = best[1:]
     digits = sum(c.isdigit() for c in text[lo:hi])

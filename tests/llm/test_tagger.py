@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from lexloom.llm.pii import FORMS, find_personal, redact, spans, tagger
+from lexloom.llm.pii import check, FORMS, find_personal, redact, spans, tagger
 from lexloom.llm.tagger import LABELS, N_CLASSES, Tagger, encode
 from lexloom.llm.train_tagger import compose, score, train
 
@@ -65,3 +65,11 @@ def test_frames(spark):
     assert redact(df, "content").first().redacted == "national id: <ID_NUMBER>"
     assert find_personal(df.limit(0), "content").count() == 0
     assert set(FORMS) == {"email", "phone", "id_number", "address"} and len(encode("aé٣")) == 3
+
+
+def test_spans_of_no_known_form_are_kept_if_plausible():
+    for text, kind, found in [("at 12 Oak Drive, today", "address", "12 Oak Drive"), ("quai 7 bis allée Nord", "address", "7 bis allée Nord"), ("to josé@ñandú.és.", "email", "josé@ñandú.és")]:
+        lo = text.index(found)
+        assert check(text, kind, lo, lo + len(found)) == (kind, lo, lo + len(found))
+    assert check("the old oak drive", "address", 4, 17) is None
+    assert check("jose at home", "email", 0, 12) is None
