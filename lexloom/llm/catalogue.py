@@ -11,7 +11,7 @@ from .canonical import map_values, typed
 from .conversations import rebuild
 from .encoding import restore
 from .leakage import find_leaks, leak_report
-from .mixing import entropy, mix, sizes, temperature
+from .mixing import mix
 from .pii import find_personal, redact
 from .truncation import find_truncated
 
@@ -87,30 +87,28 @@ def p8_items(spark: SparkSession, d: str) -> DataFrame:
     return leak_report(p8_found(spark, d), "item_id", "doc_id")
 
 
-def _mixed(spark: SparkSession, d: str):
+def _mixed(spark: SparkSession, d: str, exact: bool = False):
     docs = table(spark, d, "documents", "doc_id", "text", "source")
-    return mix(docs, table(spark, d, "mix_targets", "source", "target_share", "max_repeats"), "doc_id", "text", "source")
+    return mix(docs, table(spark, d, "mix_targets", "source", "target_share", "max_repeats"), "doc_id", "text", "source", exact=exact)
 
 
 def p9_chosen(spark: SparkSession, d: str) -> DataFrame:
+    """The mix under one exponent, bisected to the entropy of the target shares."""
     return _mixed(spark, d)[0]
 
 
 def p9_shares(spark: SparkSession, d: str) -> DataFrame:
+    """Weights and actual shares of ``p9_chosen``, and how far they are from the targets."""
     return _mixed(spark, d)[1]
 
 
-def p9_temperature(spark: SparkSession, d: str) -> DataFrame:
-    """One exponent for all sources: the entropy of the target shares, within the repetition limits of the corpus' own size."""
-    docs = table(spark, d, "documents", "doc_id", "text", "source")
-    own = sizes(docs, "doc_id", "text", "source").groupBy("source").agg(F.sum("n_tokens").alias("n"))
-    rows = table(spark, d, "mix_targets", "source", "target_share", "max_repeats").join(own, "source").filter("n > 0").collect()  # as many as targets
-    if not rows:
-        return spark.createDataFrame([], "source string, tokens long, exponent double, weight double")
-    totals = {r.source: int(r.n) for r in rows}
-    norm = sum(r.target_share for r in rows)
-    a, weights = temperature(totals, sum(totals.values()), entropy({r.source: r.target_share / norm for r in rows}), {r.source: r.max_repeats for r in rows})
-    return spark.createDataFrame([(s, totals[s], round(a, 6), round(w, 6)) for s, w in weights.items()], "source string, tokens long, exponent double, weight double")
+def p9_exact(spark: SparkSession, d: str) -> DataFrame:
+    """The mix that meets the target share of each source."""
+    return _mixed(spark, d, exact=True)[0]
+
+
+def p9_exact_shares(spark: SparkSession, d: str) -> DataFrame:
+    return _mixed(spark, d, exact=True)[1]
 
 
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
@@ -136,8 +134,11 @@ QUERIES = {
     "p8_items": p8_items,
     "p9_chosen": p9_chosen,
     "p9_shares": p9_shares,
-    "p9_temperature": p9_temperature,
-    "p10_found": p10_found, "p10_rates": p10_rates}
+    "p9_exact": p9_exact,
+    "p9_exact_shares": p9_exact_shares,
+    "p10_found": p10_found,
+    "p10_rates": p10_rates,
+}
 _P8 = r"""
 WITH w AS (
   SELECT 'd' AS kind, doc_id AS id, list_filter(regexp_split_to_array(regexp_replace(lower(text), '[\p{P}\p{S}\x{064B}-\x{065F}\x{0670}]+', '', 'g'), '\s+'), lambda x: x <> '') AS words FROM documents

@@ -1,10 +1,17 @@
-"""Sources mixed to target weights by size in tokens.
-
-Weights are token shares raised to an exponent and normalised. One exponent for
-all sources is bisected to meet an entropy within the repetition limits
-(``temperature``); to meet a share for each source, each has its own. Budgets in
-tokens are realised as whole passes over a source and one partial pass in a
-pseudo-random order of its documents.
+"""Sources mixed by temperature: token shares under one exponent, within repetition limits.
+
+The weights of all sources are their token shares raised to one exponent and
+normalised. The exponent is bisected until the weights have the entropy of the
+target shares; where a total is asked for that the repetition limits do not allow
+at these weights, it is bisected on towards 1 until they hold. The weights are
+realised as budgeted block permutations: each pass over a source is a permutation
+of its documents, cut at the source's budget of tokens, and split into blocks that
+hold the same share of every source's budget, so that any stretch of whole blocks
+has the weights of the mix.
+
+One exponent can't meet a free share for each source. ``target_weights`` are the
+weights that do, over the same realisation, and ``share_report`` says how far
+either goes.
 """
 
 from __future__ import annotations
@@ -22,7 +29,12 @@ from ..session import stage
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: the tokenizer's own pattern.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-BUCKETS = 4096
+#: Documents that one task sorts at most, on average, to find their place in a pass.
+BUCKET_ROWS = 50_000
+#: Blocks of a mix; each holds this part of every source's budget.
+BLOCKS = 64
+#: The exponent's range; above 1 it sharpens the shares.
+MOST_EXPONENT = 16.0
 REMEMBERED = 200_000
 _CHUNK = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 
@@ -89,95 +101,133 @@ def entropy(weights: dict[str, float]) -> float:
     return -sum(w * math.log(w) for w in weights.values() if w > 0)
 
 
-def temperature(totals: dict[str, int], total: float, target_entropy: float, repeats: dict[str, int]) -> tuple[float, dict[str, float]]:
-    """The exponent, and its weights: the lowest in [0, 1] whose entropy is at most the target and whose repetitions of ``total`` tokens are allowed."""
-    shares = {s: t / sum(totals.values()) for s, t in totals.items()}
-    by_entropy = bisect(lambda a: entropy(powered(shares, a)) - target_entropy, 0.0, 1.0)
-    over = lambda a: max(w * total - repeats[s] * totals[s] for s, w in powered(shares, a).items())
-    by_limit = bisect(over, 0.0, 1.0) if over(0.0) > 0 else 0.0
-    a = max(by_entropy, by_limit)
-    return a, powered(shares, a)
+def most_tokens(totals: dict[str, int], weights: dict[str, float], repeats: dict[str, int]) -> float:
+    """The largest total at which no source is repeated more often than allowed."""
+    return min(repeats[s] * totals[s] / w for s, w in weights.items() if w > 0)
+
 
+def temperature(totals: dict[str, int], repeats: dict[str, int], target_entropy: float, total: float | None = None) -> tuple[float, dict[str, float], float]:
+    """(exponent, weights, total tokens) of one exponent on the token shares.
 
-def exponents(totals: dict[str, int], targets: dict[str, float]) -> dict[str, float]:
-    """For each source the exponent that takes its token share to its target share."""
+    The exponent gives the weights the target entropy, or the nearest they can have.
+    Without ``total`` as many tokens are taken as the repetition limits allow. A
+    larger ``total`` moves the exponent towards 1, where limits are loosest for small
+    sources, until it is allowed; if it is not even there, it is reduced.
+    ``totals`` and ``repeats`` are positive, with the same sources.
+    """
     everything = sum(totals.values())
-    out = {}
-    for s, w in targets.items():
-        p = totals[s] / everything
-        if p >= 1 or w >= 1:
-            out[s] = 1.0
-        else:
-            out[s] = bisect(lambda a, p=p, w=w: p**a - w, 0.0, 1e4)
-    return out
-
-
-def plan(totals: dict[str, int], shares: dict[str, float], repeats: dict[str, int], total: float | None = None) -> dict[str, float]:
-    """Tokens to take from each source; at most what the repetition limits allow at these shares."""
-    usable = {s: w for s, w in shares.items() if w > 0 and totals.get(s, 0) > 0 and repeats.get(s, 0) > 0}
-    if not usable:
-        return {}
-    norm = sum(usable.values())
-    own = {s: totals[s] for s in usable}
-    alpha = exponents(own, {s: w / norm for s, w in usable.items()})
-    everything = sum(own.values())
-    weights = {s: (own[s] / everything) ** a for s, a in alpha.items()} if len(usable) > 1 else {s: 1.0 for s in usable}
-    most = min(repeats[s] * own[s] / w for s, w in weights.items())
-    size = most if total is None else min(total, most)
-    return {s: w * size for s, w in weights.items()}
-
-
-def choose(sized: DataFrame, key: str, source: str, budgets: dict[str, float], totals: dict[str, int], seed: int = 7) -> DataFrame:
-    """(key, source, n_tokens, repeats) of every document taken at least once.
-
-    A source's partial pass takes its documents in the order of a hash of their
-    keys. The bucket in which the budget ends is found from sums over BUCKETS hash
-    ranges; only the documents of that one range are sorted, so no task holds a
-    source.
+    shares = {s: t / everything for s, t in totals.items()}
+    a = bisect(lambda x: entropy(powered(shares, x)) - target_entropy, 0.0, MOST_EXPONENT)
+    most = most_tokens(totals, powered(shares, a), repeats)
+    if total is None or total <= most:
+        return a, powered(shares, a), most if total is None else total
+    short, enough = a, 1.0
+    for _ in range(200):
+        mid = (short + enough) / 2
+        short, enough = (short, mid) if most_tokens(totals, powered(shares, mid), repeats) >= total else (mid, enough)
+    weights = powered(shares, enough)
+    return enough, weights, min(total, most_tokens(totals, weights, repeats))
+
+
+def target_weights(totals: dict[str, int], shares: dict[str, float], repeats: dict[str, int], total: float | None = None) -> tuple[dict[str, float], float]:
+    """The target shares themselves, and the largest total up to ``total`` that the repetition limits allow at them."""
+    norm = sum(shares[s] for s in totals)
+    weights = {s: shares[s] / norm for s in totals}
+    most = most_tokens(totals, weights, repeats)
+    return weights, most if total is None else min(total, most)
+
+
+def choose(sized: DataFrame, key: str, source: str, budgets: dict[str, float], totals: dict[str, int], repeats: dict[str, int], documents: int, seed: int = 7) -> DataFrame:
+    """(key, source, n_tokens, pass, repeats, block, ord): one row for each time a document is taken.
+
+    Every pass orders a source's documents anew, by a hash of pass and key. A
+    document's place in its pass, in tokens, is the sum of the hash ranges before
+    its own and of the documents before it in the range; there are as many ranges as
+    keep one to about BUCKET_ROWS documents, so no task holds a source. The last
+    pass ends where the budget does, to the nearest document. Blocks are equal parts
+    of each budget; ``ord`` orders the documents within a block, ties by key.
+    ``repeats`` is how often the mix takes the document in all.
     """
     spark = sized.sparkSession
-    rows = [(s, int(b // totals[s]), b - (b // totals[s]) * totals[s]) for s, b in budgets.items()]
-    rows = [(s, n + 1, 0.0) if totals[s] - rest < 0.5 else (s, n, rest) for s, n, rest in rows]
-    wanted = spark.createDataFrame(rows, "w_source string, passes int, rest double")
-    order = F.xxhash64(F.lit(seed), F.col(key))
-    placed = sized.join(F.broadcast(wanted), F.col(source) == F.col("w_source")).withColumn("_h", order).withColumn("_b", F.shiftrightunsigned("_h", 52))
-    sums = placed.groupBy(F.col(source).alias("b_source"), F.col("_b").alias("b_b")).agg(F.sum("n_tokens").alias("n"))
-    ahead = Window.partitionBy("b_source").orderBy("b_b").rowsBetween(Window.unboundedPreceding, -1)
-    before = sums.select("b_source", "b_b", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("before"), "n")
-    joined = placed.join(before, (F.col(source) == F.col("b_source")) & (F.col("_b") == F.col("b_b")))
-    whole = F.col("before") + F.col("n") <= F.col("rest")
-    split = ~whole & (F.col("before") < F.col("rest"))
-    inner = joined.filter(split).withColumn("_upto", F.col("before") + F.sum("n_tokens").over(Window.partitionBy(source).orderBy("_h", key).rowsBetween(Window.unboundedPreceding, 0)))
-    taken = F.col("_upto") - F.col("n_tokens") / 2 <= F.col("rest")
-    out = joined.filter(~split).select(key, source, "n_tokens", (F.col("passes") + whole.cast("int")).alias("repeats"))
-    out = out.unionByName(inner.select(key, source, "n_tokens", (F.col("passes") + taken.cast("int")).alias("repeats")))
-    return out.filter("repeats > 0")
-
-
-def mix(docs: DataFrame, targets: DataFrame, key: str, text: str, source: str, total: float | None = None, tokenizer: str = TOKENIZER) -> tuple[DataFrame, DataFrame]:
-    """Chosen documents and actual shares.
-
-    ``targets``: source, target_share, max_repeats. Documents whose source is null
-    or has no target are not taken; a source without documents leaves its share to
-    the others, in proportion. ``total`` tokens are taken, or as many as the
-    repetition limits allow at the target shares, which is the default. Rows of
-    ``targets`` that repeat a source count once. Empty tables give no documents.
+    rows = []
+    for s, budget in budgets.items():
+        full = min(int(budget / totals[s] + 1e-9), repeats[s])
+        last = full if full == repeats[s] or budget - full * totals[s] < 0.5 else full + 1
+        rows.append((s, last, float(budget), int(totals[s])))
+    bits = max(1, min(30, math.ceil(math.log2(max(2, documents / BUCKET_ROWS)))))
+    wanted = spark.createDataFrame(rows, "w_source string, passes int, budget double, own long")
+    placed = (
+        sized.join(F.broadcast(wanted), F.col(source) == F.col("w_source"))  # one row a source of the targets
+        .filter("passes > 0 AND n_tokens > 0")
+        .withColumn("pass", F.explode(F.sequence(F.lit(1), F.col("passes"))))
+        .withColumn("_h", F.xxhash64(F.lit(seed), F.col("pass"), F.col(key)))
+        .withColumn("_b", F.shiftrightunsigned("_h", 64 - bits))
+    )
+    sums = placed.groupBy(F.col(source).alias("b_source"), F.col("pass").alias("b_pass"), F.col("_b").alias("b_b")).agg(F.sum("n_tokens").alias("n"))
+    ahead = Window.partitionBy("b_source", "b_pass").orderBy("b_b").rowsBetween(Window.unboundedPreceding, -1)
+    before = sums.select("b_source", "b_pass", "b_b", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("before"))
+    inner = Window.partitionBy(source, "pass", "_b").orderBy("_h", key).rowsBetween(Window.unboundedPreceding, 0)
+    near = placed.withColumn("_upto", F.sum("n_tokens").over(inner))
+    at = near.join(before, (F.col(source) == F.col("b_source")) & (F.col("pass") == F.col("b_pass")) & (F.col("_b") == F.col("b_b")))
+    middle = (F.col("pass") - 1) * F.col("own") + F.col("before") + F.col("_upto") - F.col("n_tokens") / 2
+    taken = at.withColumn("_at", middle).filter(F.col("_at") <= F.col("budget"))
+    return taken.select(
+        key,
+        source,
+        "n_tokens",
+        "pass",
+        F.count("*").over(Window.partitionBy(key)).cast("int").alias("repeats"),  # a key has at most max_repeats rows
+        F.least(F.floor(F.col("_at") / F.col("budget") * BLOCKS), F.lit(BLOCKS - 1)).cast("int").alias("block"),
+        F.xxhash64(F.lit(seed + 1), F.col("pass"), F.col(key)).alias("ord"),
+    )
+
+
+def mix(
+    docs: DataFrame, targets: DataFrame, key: str, text: str, source: str, total: float | None = None, exact: bool = False, tokenizer: str = TOKENIZER
+) -> tuple[DataFrame, DataFrame]:
+    """Chosen documents (see ``choose``) and a report a source.
+
+    ``targets``: source, target_share, max_repeats. With ``exact`` the weights are
+    the target shares (``target_weights``), else those of one exponent with the
+    entropy of the target shares (``temperature``). Documents whose source is null
+    or has no target are not taken, nor are those without tokens; a source without
+    documents, share or repeats leaves its share to the others, in proportion.
+    ``total`` tokens are taken, or as many as the repetition limits allow, which is
+    the default. Rows of ``targets`` that repeat a source count once, with their
+    largest values. Empty tables give no documents.
     """
+    spark = docs.sparkSession
     sized = stage(sizes(docs, key, text, source, tokenizer), "sizes")
-    listed = targets.groupBy("source").agg(F.max("target_share").alias("share"), F.max("max_repeats").alias("most"))
-    # As many rows as there are targets.
-    stats = listed.join(sized.groupBy(F.col(source).alias("source")).agg(F.sum("n_tokens").alias("n")), "source", "left").filter("source IS NOT NULL").collect()
-    totals = {r.source: int(r.n or 0) for r in stats}
-    budgets = plan(totals, {r.source: r.share or 0.0 for r in stats}, {r.source: r.most or 0 for r in stats}, total)
-    chosen = choose(sized, key, source, budgets, totals)
-    own = chosen.groupBy(F.col(source).alias("source")).agg(F.sum(F.col("n_tokens") * F.col("repeats")).alias("tokens"), F.count("*").alias("n_docs"), F.max("repeats").alias("most_repeats"))
+    listed = targets.filter("source IS NOT NULL").groupBy("source").agg(F.max("target_share").alias("share"), F.max("max_repeats").alias("most"))
+    own = sized.filter("n_tokens > 0").groupBy(F.col(source).alias("source")).agg(F.sum("n_tokens").alias("n"), F.count("*").alias("d"))
+    stats = listed.join(own, "source", "left").collect()  # as many rows as targets
+    usable = [r for r in stats if (r.n or 0) > 0 and (r.share or 0) > 0 and (r.most or 0) > 0]
+    totals, repeats, shares = {r.source: int(r.n) for r in usable}, {r.source: int(r.most) for r in usable}, {r.source: float(r.share) for r in usable}
+    exponent, weights, size = None, {}, 0.0
+    if usable:
+        wanted, _ = target_weights(totals, shares, repeats)
+        if exact:
+            weights, size = target_weights(totals, shares, repeats, total)
+        else:
+            exponent, weights, size = temperature(totals, repeats, entropy(wanted), total)
+    chosen = choose(sized, key, source, {s: w * size for s, w in weights.items()}, totals, repeats, sum(r.d or 0 for r in stats))
+    rows = [(r.source, r.share, exponent, weights.get(r.source, 0.0)) for r in stats]
+    return chosen, share_report(chosen, spark.createDataFrame(rows, "source string, target_share double, exponent double, weight double"), source)
+
+
+def share_report(chosen: DataFrame, weighted: DataFrame, source: str) -> DataFrame:
+    """For each target: the exponent and weight aimed at, documents, tokens, most repeats, and the actual share with its distance from the target."""
+    own = chosen.groupBy(F.col(source).alias("source")).agg(F.sum("n_tokens").alias("tokens"), F.count_if(F.col("pass") == 1).alias("n_docs"), F.max("repeats").alias("most_repeats"))
     everything = F.sum("tokens").over(Window.partitionBy())  # as many rows as targets
-    shares = listed.join(own, "source", "left").select(
+    actual = F.coalesce(F.col("tokens") / everything, F.lit(0.0))
+    return weighted.join(own, "source", "left").select(
         "source",
-        F.col("share").alias("target_share"),
+        "target_share",
+        F.round("exponent", 6).alias("exponent"),
+        F.round("weight", 6).alias("weight"),
         F.coalesce("n_docs", F.lit(0)).alias("n_docs"),
         F.coalesce("tokens", F.lit(0)).alias("tokens"),
         F.coalesce("most_repeats", F.lit(0)).alias("most_repeats"),
-        F.round(F.coalesce(F.col("tokens") / everything, F.lit(0.0)), 6).alias("actual_share"),
+        F.round(actual, 6).alias("actual_share"),
+        F.round(actual - F.col("target_share"), 6).alias("off_target"),
     )
-    return chosen, shares

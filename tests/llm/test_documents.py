@@ -1,10 +1,11 @@
+import math
 import random
 import re
 
 from pyspark.sql import functions as F
 
 from lexloom.llm.leakage import find_leaks
-from lexloom.llm.mixing import TOKENIZER, _encoding, choose, count_tokens, mix, plan, powered, temperature
+from lexloom.llm.mixing import TOKENIZER, _encoding, choose, count_tokens, entropy, mix, most_tokens, powered, target_weights, temperature
 from lexloom.llm.truncation import find_truncated
 
 
@@ -106,24 +107,80 @@ def test_mix_meets_shares_and_limits(spark):
     docs = [(i, " ".join(["word"] * rng.randrange(5, 60)), rng.choice(["big"] * 8 + ["mid", "tiny"] + [None])) for i in range(3000)]
     df = spark.createDataFrame([(*d, 5) for d in docs] + [(0, None, "big", 5)], "doc_id long, text string, source string, repeats int")
     targets = spark.createDataFrame([("big", 0.5, 1), ("mid", 0.3, 2), ("tiny", 0.1, 3), ("none", 0.1, 9), (None, 0.0, 1)], "source string, target_share double, max_repeats int")
-    chosen, shares = mix(df, targets, "doc_id", "text", "source")
+    chosen, shares = mix(df, targets, "doc_id", "text", "source", exact=True)
     got = {r.source: r for r in shares.collect()}
     for s, w, most in (("big", 0.5, 1), ("mid", 0.3, 2), ("tiny", 0.1, 3)):
         assert abs(got[s].actual_share - w / 0.9) < 0.005 and got[s].most_repeats <= most
     assert got["none"].tokens == 0
-    assert chosen.count() == chosen.select("doc_id").distinct().count()
+    assert chosen.count() == chosen.select("doc_id", "pass").distinct().count()
     assert mix(df.limit(0), targets, "doc_id", "text", "source")[0].count() == 0
     assert mix(df, targets.limit(0), "doc_id", "text", "source")[0].count() == 0
     sized = df.groupBy("doc_id").agg(F.max("source").alias("source")).filter("source = 'mid'").withColumn("n_tokens", F.lit(10).cast("long"))
     n = sized.count()
-    part = choose(sized, "doc_id", "source", {"mid": 10.0 * n * 1.5}, {"mid": 10 * n})
-    assert abs(part.agg(F.sum("repeats")).first()[0] - 1.5 * n) <= 1
+    part = choose(sized, "doc_id", "source", {"mid": 10.0 * n * 1.5}, {"mid": 10 * n}, {"mid": 2}, n)
+    assert abs(part.count() - 1.5 * n) <= 1
+    again = {r.doc_id: r.repeats for r in part.collect()}
+    assert set(again.values()) == {1, 2} and sum(again.values()) == part.filter("pass = 1").count() + part.filter("pass = 2").count()
+
+
+def test_temperature_against_a_grid():
+    totals, repeats, targets = {"a": 5200, "b": 2600, "c": 900, "d": 130}, {"a": 1, "b": 1, "c": 2, "d": 4}, {"a": 0.4, "b": 0.25, "c": 0.2, "d": 0.15}
+    aim = -sum(w * math.log(w) for w in targets.values())
+    n = sum(totals.values())
+
+    def weights(e):
+        raw = {s: (t / n) ** e for s, t in totals.items()}
+        return {s: r / sum(raw.values()) for s, r in raw.items()}
+
+    def off(e):
+        return abs(-sum(w * math.log(w) for w in weights(e).values()) - aim)
+
+    grid = min((i / 10_000 for i in range(30_001)), key=off)
+    a, w, size = temperature(totals, repeats, aim)
+    assert 0.05 < a < 0.95 and abs(a - grid) < 1e-4 and abs(entropy(w) - aim) < 1e-9
+    assert abs(size - min(repeats[s] * totals[s] / weights(grid)[s] for s in totals)) < 2
+    # A total that the limits do not allow at this exponent moves it on, just as far as it must.
+    larger = (size + n) / 2
+    b, u, got = temperature(totals, repeats, aim, larger)
+    assert a < b < 1 and got == larger and all(u[s] * larger <= repeats[s] * totals[s] + 1e-6 for s in totals)
+    assert most_tokens(totals, weights(b - 1e-3), repeats) < larger
+    c, v, most = temperature(totals, repeats, aim, 10.0 * n)
+    assert c == 1 and abs(most - n) < 1e-6 and abs(v["a"] - 5200 / n) < 1e-9
+
+
+def test_mix_by_one_exponent_is_realised_in_blocks(spark):
+    rng = random.Random(3)
+    docs = [(i, " ".join(["word"] * rng.randrange(3, 40)), s) for i, s in enumerate(["a"] * 2600 + ["b"] * 1300 + ["c"] * 450 + ["d"] * 70)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    targets = spark.createDataFrame([("a", 0.4, 1), ("b", 0.25, 1), ("c", 0.2, 2), ("d", 0.15, 4)], "source string, target_share double, max_repeats int")
+    chosen, shares = mix(df, targets, "doc_id", "text", "source")
+    got = {r.source: r for r in shares.collect()}
+    tokens = {i: (s, count_tokens(t)) for i, t, s in docs}
+    natural = {s: sum(n for z, n in tokens.values() if z == s) for s in "abcd"}
+    exponent = got["a"].exponent
+    assert 0.05 < exponent < 0.95 and {r.exponent for r in got.values()} == {exponent}
+    raw = {s: n**exponent for s, n in natural.items()}
+    rows = chosen.collect()
+    size = sum(r.n_tokens for r in rows)
+    taken = {s: sum(r.n_tokens for r in rows if r.source == s) for s in "abcd"}
+    for s in "abcd":
+        assert abs(taken[s] / size - raw[s] / sum(raw.values())) < 0.01 and got[s].tokens == taken[s]
+        assert abs(got[s].off_target - (taken[s] / size - {"a": 0.4, "b": 0.25, "c": 0.2, "d": 0.15}[s])) < 1e-5
+    times = {}
+    for r in rows:
+        assert tokens[r.doc_id] == (r.source, r.n_tokens)
+        times.setdefault(r.doc_id, []).append(r)
+    assert all(len(x) == x[0].repeats == len({r["pass"] for r in x}) <= {"a": 1, "b": 1, "c": 2, "d": 4}[x[0].source] for x in times.values())
+    # A whole pass holds every document before the next begins, and halves of the blocks have the weights of the mix.
+    assert len({r.doc_id for r in rows if r.source == "d" and r["pass"] == 1}) == 70
+    for half in (range(32), range(32, 64)):
+        part = [r for r in rows if r.block in half]
+        n = sum(r.n_tokens for r in part)
+        assert all(abs(sum(r.n_tokens for r in part if r.source == s) / n - taken[s] / size) < 0.03 for s in "abcd")
 
 
 def test_plans():
-    assert plan({"a": 100}, {"a": 1.0}, {"a": 2}) == {"a": 200.0}
-    assert plan({}, {"a": 1.0}, {"a": 2}) == {}
-    b = plan({"a": 900, "b": 100}, {"a": 0.5, "b": 0.5}, {"a": 1, "b": 4})
-    assert abs(b["a"] - 400) < 1e-6 and abs(b["b"] - 400) < 1e-6
-    a, w = temperature({"a": 900, "b": 100}, 1000, 10.0, {"a": 1, "b": 3})
-    assert 0 < a < 1 and abs(w["b"] - 0.3) < 1e-6 and abs(sum(powered({"a": 0.9, "b": 0.1}, 0.3).values()) - 1) < 1e-9
+    assert target_weights({"a": 100}, {"a": 1.0}, {"a": 2}) == ({"a": 1.0}, 200.0)
+    w, n = target_weights({"a": 900, "b": 100}, {"a": 0.5, "b": 0.5}, {"a": 1, "b": 4})
+    assert w == {"a": 0.5, "b": 0.5} and abs(n - 800) < 1e-6 and target_weights({"a": 900, "b": 100}, {"a": 0.5, "b": 0.5}, {"a": 1, "b": 4}, 10.0)[1] == 10
+    assert abs(sum(powered({"a": 0.9, "b": 0.1}, 0.3).values()) - 1) < 1e-9
