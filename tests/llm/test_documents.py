@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lexloom.llm.leakage import find_leaks
 from lexloom.llm.mixing import TOKENIZER, _encoding, choose, count_tokens, entropy, mix, most_tokens, powered, target_weights, temperature
-from lexloom.llm.truncation import find_truncated
+from lexloom.llm.truncation import at_limit, candidates, find_truncated
 
 
 def brute_leaks(docs, items, run=10):
@@ -67,7 +67,38 @@ def test_truncation(spark):
 def test_trie_judges_prose_too(spark):
     docs = [(i, "The bowl stands next to the kiln.", "a") for i in range(20)] + [(30, "The bowl stands next to the ki", "a"), (31, "The bowl stands next to the", "a")]
     df = spark.createDataFrame(docs, "doc_id int, text string, source string")
-    assert {r.doc_id: r.reason for r in find_truncated(df, "doc_id", "text", "source").collect()} == {30: "prefix", 31: "prose"}
+    assert {r.doc_id: r.reason for r in find_truncated(df, "doc_id", "text", "source").collect()} == {30: "prefix", 31: "line"}
+
+
+def test_lines_that_end_open_by_design_are_learned(spark):
+    rng = random.Random(8)
+    nouns = [f"{a}{b}{c}" for a in "bdgkl" for b in ("ara", "olo", "umi", "ete") for c in ("n", "m", "sh", "")]
+
+    def prose():
+        return f"Pupils read the {rng.choice(nouns)} and the {rng.choice(nouns)} of the school."
+
+    def entry():
+        return f"~ {rng.choice(nouns)} >> {rng.choice(nouns)}"  # a list form that no pattern names
+
+    docs = [(i, "\n".join([prose() for _ in range(3)] + [entry() for _ in range(4)]), "a") for i in range(60)]
+    docs += [(100 + i, "\n".join([prose(), entry(), prose()]), "a") for i in range(20)]
+    cut = [(200, f"{prose()}\n{prose()}\nPupils read the {nouns[0]} and the {nouns[1]}", "a"), (201, f"Pupils read the {nouns[3]}", "a")]
+    df = spark.createDataFrame(docs + cut, "doc_id int, text string, source string")
+    assert {r.doc_id: r.reason for r in find_truncated(df, "doc_id", "text", "source").collect()} == {200: "line", 201: "line"}
+
+
+def test_limits_pile_up_in_characters_and_bytes(spark):
+    rng = random.Random(9)
+
+    def words(n):
+        return " ".join(rng.choice(["kalb", "bēt", "nūr", "dār", "šams"]) for _ in range(n))
+
+    rows = [(i, words(80).encode()[:300].decode("utf-8", "ignore"), "bytes") for i in range(60)] + [(100 + i, words(80)[:200], "chars") for i in range(60)]
+    rows += [(200 + i, words(rng.randrange(20, 60)), "free") for i in range(60)]
+    ends = candidates(spark.createDataFrame(rows, "doc_id int, text string, source string"), "doc_id", "text", "source").withColumn("source", F.col("_source"))
+    full = {r.doc_id: r._full for r in at_limit(ends, ends, "doc_id").collect()}
+    whole = {i for i, t, s in rows if s != "free"}
+    assert set(full) == whole and {full[i] for i in range(100, 160)} == {2} and {full[i] for i in range(60)} == {1, 2}
 
 
 def test_quotes_close_only_with_their_partner(spark):
