@@ -38,6 +38,8 @@ def scratch_root(spark: SparkSession) -> str:
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL_SCRATCH:
         _LOCAL_SCRATCH[app] = tempfile.mkdtemp(prefix="lexloom-")
@@ -59,10 +61,10 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def unstage(df: DataFrame) -> None:
-    """Delete the files behind a staged table that no later plan reads."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    for name in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(name)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+def unstage(*staged: DataFrame) -> None:
+    """Delete the files behind staged tables that no later plan reads."""
+    for df in staged:
+        context = df.sparkSession.sparkContext
+        for name in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            path = context._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)

@@ -2,6 +2,9 @@ import random
 
 import pytest
 
+from pyspark.sql import functions as F
+
+from lexloom.operators import hierarchy
 from lexloom.operators.hierarchy import descendants, resolve_hierarchy
 
 
@@ -64,3 +67,37 @@ def test_empty_and_extra_columns(spark):
     df = spark.createDataFrame([(1, None, "x", 1), (2, 1, "y", 3)], "id long, parent long, seg string, state int")
     solved = resolve_hierarchy(df, "id", "parent")
     assert [tuple(r) for r in descendants(solved).collect()] == [(1, 2, 1)]
+
+
+def test_jumping_gives_the_same_as_levels(spark):
+    rng = random.Random(11)
+    n = 300
+    order = list(range(n))
+    rng.shuffle(order)
+    up = {x: (order[i - 1] if i % 37 else rng.choice([None, 10_000 + i])) for i, x in enumerate(order)}
+    for a, b in ((3, 9), (50, 60), (200, 240)):  # loops in the shuffled chains, with what hangs below
+        up[order[a]] = order[b]
+    up[order[100]] = order[100]
+    links = list(up.items()) + [(n + i, rng.choice(order)) for i in range(40)]
+    assert solve(spark, links, 5) == brute(links)
+
+
+def test_shuffled_chains_stay_within_fragments(spark, monkeypatch):
+    """The chains that hardly contract: no task holds more than a few fragments."""
+    n, fragment, sizes = 200_000, 1_000, []
+    counted = hierarchy._fragments
+
+    def watched(nodes, parts):
+        placed = nodes.repartitionByRange(parts, "id") if parts > 1 else nodes.coalesce(1)
+        sizes.append(placed.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0])
+        return counted(nodes, parts)
+
+    monkeypatch.setattr(hierarchy, "_fragments", watched)
+    place = (F.col("id") * 100_003) % n  # a permutation, as 100003 is a prime that does not divide n
+    links = spark.range(n).select(place.alias("id"), F.when(F.col("id") % 50 != 0, (F.col("id") - 1) * 100_003 % n).alias("parent"))
+    out = resolve_hierarchy(links, "id", "parent", fragment)
+    depth = out.agg(F.count("*"), F.sum("tree_depth"), F.max("tree_depth"), F.countDistinct("top_id")).first()
+    assert tuple(depth) == (n, n // 50 * sum(range(50)), 49, n // 50)
+    assert sizes and max(sizes) <= 3 * fragment
+    wrong = out.filter((F.size(F.split("id_path", "/")) != F.col("tree_depth") + 1) | (F.substring_index("id_path", "/", -1) != F.col("id").cast("string")) | (F.substring_index("id_path", "/", 1) != F.col("top_id").cast("string")))
+    assert wrong.count() == 0
