@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 MOST_BITS = 1 << 29  # 64 MB: the size bound of what is broadcast, whatever the number of keys
 HASHES = 5
+RANGE = 1 << 13  # words packed into one row, 64 kB
 
 
 def _steps(h1: np.ndarray, h2: np.ndarray, bits: int):
@@ -25,9 +26,10 @@ class Bloom:
     """A filter over the string keys of a frame. Null keys are never in it.
 
     Each task sets bits in its own array and emits only non-zero words; Spark ORs
-    the words. At most bits/64 words reach the driver, 8 MB of words a million
-    keys, and never more than MOST_BITS / 8 bytes. Past that bound the filter
-    lets more keys through, which costs verification, never a result.
+    the words and packs them by ranges. What reaches the driver is the filter
+    itself in bytes, about 2 MB a million keys and never more than MOST_BITS / 8.
+    Past that bound the filter lets more keys through, which costs verification,
+    never a result.
     """
 
     def __init__(self, keys: DataFrame, column: str, count: int | None = None):
@@ -46,9 +48,15 @@ class Bloom:
                 part = at[i : i + (1 << 16)]
                 yield pd.DataFrame({"w": part, "v": own[part].view(np.int64)})
 
-        got = hashed.mapInPandas(words, "w long, v long").groupBy("w").agg(F.bit_or("v").alias("v")).toPandas()
-        filled = np.zeros(bits // 64, np.uint64)
-        filled[got["w"].to_numpy(np.int64)] = got["v"].to_numpy(np.int64).view(np.uint64)
+        def pack(pdf):
+            own = np.zeros(RANGE, np.int64)
+            own[pdf["w"].to_numpy() % RANGE] = pdf["v"].to_numpy()
+            return pd.DataFrame({"r": [int(pdf["w"].iloc[0]) // RANGE], "b": [own.tobytes()]})
+
+        ored = hashed.mapInPandas(words, "w long, v long").groupBy("w").agg(F.bit_or("v").alias("v"))
+        filled = np.zeros(max(RANGE, bits // 64), np.uint64)
+        for row in ored.groupBy(F.floor(F.col("w") / RANGE).alias("g")).applyInPandas(pack, "r long, b binary").toLocalIterator():
+            filled[row.r * RANGE : (row.r + 1) * RANGE] = np.frombuffer(row.b, np.uint64)
         self.shared = spark.sparkContext.broadcast(filled)
 
     def might_contain(self, column: str) -> Column:

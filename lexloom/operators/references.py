@@ -37,21 +37,23 @@ def find_orphans(refs: DataFrame, parent_rows: DataFrame, key: str, at: str) ->
     reference missing; empty references give an empty result. ``refs`` keeps all
     its columns; pkey, p_loaded and p_deleted are reserved names.
 
-    References are not grouped by key at any point before the join, and the join
-    is left to the planner: a small parent side is broadcast by its measured size,
-    a large one is shuffled, where adaptive execution splits hot keys.
+    Orphans that the filter proves take no part in the join. References are not
+    grouped by key at any point before it, and it is left to the planner: a small
+    parent side is broadcast by its measured size, a large one is shuffled, where
+    adaptive execution splits hot keys.
     """
     known = stage(parent_rows, "parents")
     bloom = Bloom(known, "pkey")
     real = refs.filter(F.col(key).isNotNull()).withColumn(key, F.col(key).cast("string"))
-    tested = real.withColumn("_seen", bloom.might_contain(key))
-    joined = tested.join(known, F.when(F.col("_seen"), F.col(key)) == F.col("pkey"), "left")
+    tested = stage(real.withColumn("_seen", bloom.might_contain(key)), "tested")
+    joined = tested.filter("_seen").join(known, F.col(key) == F.col("pkey"), "left")
     kind = (
         F.when(F.col("pkey").isNull(), "missing")
         .when(F.col("p_loaded") > F.col(at), "late")
         .when(F.col("p_deleted") <= F.col(at), "deleted")
     )
-    return joined.withColumn("orphan_kind", kind).filter(F.col("orphan_kind").isNotNull()).drop("_seen", "pkey", "p_loaded", "p_deleted")
+    verified = joined.withColumn("orphan_kind", kind).filter(F.col("orphan_kind").isNotNull()).drop("_seen", "pkey", "p_loaded", "p_deleted")
+    return verified.unionByName(tested.filter("NOT _seen").drop("_seen").withColumn("orphan_kind", F.lit("missing")))
 
 
 def orphan_report(orphans: DataFrame) -> DataFrame:
