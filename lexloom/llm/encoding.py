@@ -5,7 +5,8 @@ decodings, and the garbled forms are hash-joined with the corpus's suspicious
 words; a match substitutes the original. Words that no clean text of the corpus
 holds are added as hypotheses, decoded from the suspicious word itself; they go
 through the same table, so that only what garbles to exactly the written form is
-ever substituted, and only if all its letters occur in clean words.
+ever substituted, and only if all its letters occur in clean words. A suspicious
+word that no form of the table matches stays as it is.
 
 A *word* is a run of letters and of anything beyond ASCII, or several such runs
 joined by hyphens: wrong decodings keep ASCII as it is and never make any of it.
@@ -17,7 +18,7 @@ import re
 from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stage
@@ -88,6 +89,8 @@ def signature(codec: str) -> str:
 
 SIGNATURE = "|".join(signature(c) for c in CODECS)
 SUSPICIOUS = f"{SIGNATURE}|{LEGACY_SHAPE}|[\\u0080-\\u009f]"
+#: A character that every suspicious text has: a byte after the first of one of UTF-8's, or from the upper half of Latin-1.
+NEEDED = "[" + "".join(_class(c, 0x80, 0xC0)[1:-1] for c in CODECS) + "\\u0080-\\u009f\\u00a1-\\u00ff]"
 _LEGACY, _CONTROL, _LATIN = re.compile(LEGACY_SHAPE), re.compile("[\x80-\x9f]"), re.compile("[A-Za-zÀ-ÿ]")
 
 
@@ -137,34 +140,39 @@ def _forms(text: str) -> set[str]:
     return out - {text}
 
 
+def suspicious(text: Column) -> Column:
+    return text.rlike(NEEDED) & text.rlike(SUSPICIOUS)
+
+
 def words(texts: DataFrame, column: str) -> DataFrame:
-    """(token, n): the distinct words of ``texts`` that hold more than ASCII."""
-    return stage(
-        # explode_outer: for explode the planner adds a filter that extracts every text's words again.
-        texts.select(F.explode_outer(F.regexp_extract_all(column, F.lit(WORD), F.lit(0))).alias("token"))
-        .filter(F.col("token").rlike(r"[^\x00-\x7f]"))
-        .groupBy("token")
-        .agg(F.count("*").alias("n")),
-        "tokens",
-    )
+    """(token, n): the distinct words of ``texts`` that hold more than ASCII.
+
+    Runs between blanks are counted first, so that only distinct ones are searched for words.
+    """
+    beyond = r"[^\x00-\x7f]"
+    # explode_outer: for explode the planner adds a filter that splits every text again.
+    runs = texts.filter(F.col(column).rlike(beyond)).select(F.explode_outer(F.split(column, " ")).alias("run")).groupBy("run").agg(F.count("*").alias("n")).filter(F.col("run").rlike(beyond))
+    found = runs.select(F.explode_outer(F.regexp_extract_all("run", F.lit(WORD), F.lit(0))).alias("token"), "n").filter(F.col("token").rlike(beyond))
+    return stage(found.groupBy("token").agg(F.sum("n").alias("n")), "tokens")
 
 
 def originals(tokens: DataFrame) -> DataFrame:
     """(token, original): what to put for each garbled word of ``tokens``."""
-    odd = F.col("token").rlike(SUSPICIOUS)
-    letters = tokens.filter(~odd).select(F.explode(F.array_distinct(F.split("token", ""))).alias("c")).groupBy("c").count()
+    odd = suspicious(F.col("token"))
+    marked = stage(tokens.withColumn("odd", odd), "marked")
+    letters = marked.filter("NOT odd").select(F.explode(F.array_distinct(F.split("token", ""))).alias("c")).groupBy("c").count()
     known = {r.c for r in letters.filter("c <> ''").collect()}  # at most as many rows as there are characters
     known = (known - {LOST}) | set(map(chr, range(128)))
     shared = tokens.sparkSession.sparkContext.broadcast(known)
 
     def guess(batches):
         for pdf in batches:
-            rows = [(t, o) for t in pdf["token"] if LOST not in t for o in hypotheses(t, shared.value)[:3]]
+            rows = [(t, o) for t in pdf["token"] for o in hypotheses(t, shared.value)]
             yield pd.DataFrame(rows, columns=["token", "original"])
 
-    guesses = stage(tokens.filter(odd).mapInPandas(guess, "token string, original string"), "guesses")
-    suspects = guesses.select("token").distinct()
-    clean = tokens.join(suspects, "token", "left_anti").select(F.col("token").alias("original"), "n")
+    suspects = marked.filter(F.col("odd") & ~F.col("token").contains(LOST)).select("token")
+    guesses = stage(suspects.mapInPandas(guess, "token string, original string"), "guesses")
+    clean = marked.join(guesses.select("token").distinct(), "token", "left_anti").select(F.col("token").alias("original"), "n")
     vocabulary = clean.unionByName(guesses.select("original", F.lit(0).cast("long").alias("n"))).groupBy("original").agg(F.max("n").alias("n"))
 
     def garbled(batches):
@@ -173,16 +181,13 @@ def originals(tokens: DataFrame) -> DataFrame:
             yield pd.DataFrame(rows, columns=["token", "original", "n"]).astype({"n": "int64"})
 
     table = vocabulary.mapInPandas(garbled, "token string, original string, n long")
-    # A word garbled only in part, as before a clean sign, has no whole form; its hypothesis ranks last.
-    hits = table.join(suspects, "token").select("token", "original", "n")
-    best = hits.unionByName(guesses.select("token", "original", F.lit(-1).cast("long").alias("n")))
     rank = Window.partitionBy("token").orderBy(F.desc("n"), "original")
-    return best.withColumn("r", F.row_number().over(rank)).filter("r = 1").select("token", "original")
+    return table.join(suspects, "token").withColumn("r", F.row_number().over(rank)).filter("r = 1").select("token", "original")
 
 
 def masked_ends(rows: DataFrame, tokens: DataFrame, keys: list[str]) -> DataFrame:
     """Keys of the rows with a word that is some clean word with its last letters as question marks."""
-    mask = tokens.filter(~F.col("token").rlike(SUSPICIOUS)).select(F.regexp_replace("token", r"[^\x00-\x7f]", "?").alias("_end"))
+    mask = tokens.filter(~suspicious(F.col("token"))).select(F.regexp_replace("token", r"[^\x00-\x7f]", "?").alias("_end"))
     ends = mask.filter(F.col("_end").rlike(r"^[A-Za-z]+\?+$")).distinct()
     shape = r"(?<![\p{L}\p{M}?-])[A-Za-z]+\?+(?![\p{L}\p{M}?])"
     there = rows.filter(F.col("_text").rlike(r"[A-Za-z]\?")).select(*keys, F.explode_outer(F.regexp_extract_all("_text", F.lit(shape), F.lit(0))).alias("_end"))
@@ -199,13 +204,17 @@ def restore(texts: DataFrame, keys: list[str], column: str) -> DataFrame:
     columns are ignored.
     """
     rows = texts.select(*keys, F.col(column).alias("_text")).filter(F.col("_text") != "")
-    lost = F.col("_text").contains(LOST) | F.col("_text").rlike(LOST_MARKS)
+    lost = F.col("_text").contains(LOST) | (F.col("_text").contains("?") & F.col("_text").rlike(LOST_MARKS))
+    masked = F.col("_text").contains("?") & F.col("_text").rlike(r"[A-Za-z]\?")
+    # Whatever may be a case, found in one pass; all words are taken in another.
+    cases = rows.select("*", lost.alias("_lost"), masked.alias("_masked"), suspicious(F.col("_text")).alias("_odd"))
+    cases = stage(cases.filter("_lost OR _masked OR _odd").dropDuplicates(keys), "cases")
     tokens = words(rows, "_text")
-    ended = stage(masked_ends(rows.filter(~lost), tokens, keys), "ended")
-    gone = rows.filter(lost).select(*keys).unionByName(ended).withColumn("restored", F.lit(""))
+    ended = stage(masked_ends(cases.filter("_masked AND NOT _lost"), tokens, keys), "ended")
+    gone = cases.filter("_lost").select(*keys).unionByName(ended).withColumn("restored", F.lit(""))
     mapping = stage(originals(tokens), "originals")
-    suspicious = rows.filter(~lost & F.col("_text").rlike(SUSPICIOUS)).join(ended, keys, "left_anti").dropDuplicates(keys)
-    parts = suspicious.select(*keys, F.posexplode_outer(F.regexp_extract_all("_text", F.lit(SEGMENT), F.lit(0))).alias("_pos", "_seg"))
+    odd = cases.filter("_odd AND NOT _lost").join(ended, keys, "left_anti")
+    parts = odd.select(*keys, F.posexplode_outer(F.regexp_extract_all("_text", F.lit(SEGMENT), F.lit(0))).alias("_pos", "_seg"))
     fixed = (
         parts.join(mapping, F.col("_seg") == F.col("token"), "left")
         .groupBy(*keys)
