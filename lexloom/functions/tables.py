@@ -23,7 +23,7 @@ PATTERNS = {
     "فَعَّلَ": "faʿʿala (verb)",
     "فَاعَلَ": "fāʿala (verb)",
 }
-# Weights of the verb stems by their number, and by that of four-letter stems (Q.) in all their spellings.
+# Weights of the verb stems by their number, as it is spelled.
 WEIGHTS = {
     "1": "فَعَلَ",
     "2": "فَاعَلَ",
@@ -38,8 +38,24 @@ WEIGHTS = {
     "11": "افْعَالَّ",
     "12": "افْعَوَلَ",
     "13": "افْعَوَّلَ",
+    "Q. 1": "فَعْلَلَ",
+    "Q.1": "فَعْلَلَ",
+    "Q. 2": "تَفَعْلَلَ",
+    "Q.2": "تَفَعْلَلَ",
+    "Q. 3": "افْعَنْلَلَ",
+    "Q. 4": "افْعَلَلَّ",
+    "Q. Q. 1": "فَعْلَلَ",
+    "Q. Q. 2": "تَفَعْلَلَ",
+    "Q. Q. 3": "افْعَنْلَلَ",
+    "Q. Q. 4": "افْعَلَلَّ",
+    "Q. Q.2": "تَفَعْلَلَ",
+    "R. Q. 1": "فَعْلَلَ",
+    "R. Q. 2": "تَفَعْلَلَ",
+    "R. Q. 3": "افْعَنْلَلَ",
+    "R. Q. 4": "افْعَلَلَّ",
+    "R. Q.1": "فَعْلَلَ",
+    "R.Q.1": "فَعْلَلَ",
 }
-QUADRILITERAL = {"1": "فَعْلَلَ", "2": "تَفَعْلَلَ", "3": "افْعَنْلَلَ", "4": "افْعَلَلَّ"}
 # Form numbers; the last is accepted with either alif.
 FORMS = {
     "المصدر": "1",
@@ -59,11 +75,17 @@ def pattern_name(c: Column) -> Column:
     return lookup(c, PATTERNS, F.lit("UNKNOWN"))
 
 
-def weight_of(itype: Column) -> Column:
-    """The weight of a stem number such as 4, Q. 2, Q. Q. 3 or R.Q.1; null for others."""
-    tight = F.regexp_replace(itype, r"\s", "")
-    four = F.regexp_extract(tight, r"^(?:Q\.|Q\.Q\.|R\.Q\.)([1-4])$", 1)
-    return F.coalesce(lookup(tight, WEIGHTS), lookup(four, QUADRILITERAL))
+def weight_of(itype: Column, table: dict[str, str] = WEIGHTS, any_spelling: bool = False) -> Column:
+    """The weight of a stem number such as 4, Q. 2 or R.Q.1; null for others.
+
+    Numbers are matched as the table spells them; with ``any_spelling`` those of
+    four-letter stems may have blanks anywhere. ``table`` may be another.
+    """
+    found = lookup(itype, table)
+    if not any_spelling:
+        return found
+    tight = {k.replace(" ", ""): w for k, w in table.items() if "Q" in k}
+    return F.coalesce(found, lookup(F.regexp_replace(itype, r"\s", ""), tight))
 
 
 def form_number(label: Column) -> Column:

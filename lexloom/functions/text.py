@@ -37,12 +37,24 @@ def normalize_arabic(c: Column) -> Column:
     return fold_letters(strip_marks(c))
 
 
-def strip_article(c: Column) -> Column:
-    """A leading article, with or without its alif, and the marks around it."""
-    out = F.regexp_replace(c, "^[اٱ]?ل(?=.{2})", "")
-    out = F.regexp_replace(out, f"^{WIDE_MARKS}{{1,2}}", "")
+def strip_article(c: Column, alif: bool = False) -> Column:
+    """A leading article, up to two marks and a doubling sign after it, and one mark at the end.
+
+    By default what counts as an article is lām, with or without wasla alif before it,
+    so a plain alif keeps it and any leading lām goes. With ``alif`` it is lām
+    with or without either alif, if two signs follow, and all marks count.
+    """
+    article, marks = ("^[اٱ]?ل(?=.{2})", WIDE_MARKS) if alif else ("^ٱ?ل", NARROW_MARKS)
+    out = F.regexp_replace(c, article, "")
+    out = F.regexp_replace(out, f"^{marks}{{1,2}}", "")
     out = F.regexp_replace(out, "^\u0651", "")
-    return F.regexp_replace(out, f"{WIDE_MARKS}$", "")
+    return F.regexp_replace(out, f"{marks}$", "")
+
+
+def three_letters(root: Column) -> Column:
+    """Struct(root, r3, r2, r1) of a root of exactly three signs, dashed; null for others, which are to be rejected."""
+    r1, r2, r3 = (F.substring(root, i, 1) for i in (1, 2, 3))
+    return F.when(F.length(root) == 3, F.struct(F.concat_ws("-", r1, r2, r3).alias("root"), r3.alias("r3"), r2.alias("r2"), r1.alias("r1")))
 
 
 def to_arabic(c: Column) -> Column:

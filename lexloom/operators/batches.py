@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
+
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -15,27 +18,56 @@ def fixed_chunks(df: DataFrame, ordinal: str, size: int) -> DataFrame:
 def budget_bins(df: DataFrame, group: str, ordinal: str, cost: str, most: int) -> DataFrame:
     """(group, ordinal, cost, bin): greedy bins in order; an item over the budget has its own.
 
-    A running fold, so each group is one task; batches of it are folded as they
-    stream in, and the state is two numbers.
+    A running fold, so a group is one task, in which batches are folded as they stream
+    in: the state is two numbers, and a bin's end is found by bisecting the running
+    sums, so the work is one step a bin. Null costs count nothing.
     """
     kind = df.schema[group].dataType.simpleString()
 
+    def one(costs: np.ndarray, b: int, total: int) -> tuple[np.ndarray, int, int]:
+        sums, bins, i = costs.cumsum(), np.empty(len(costs), np.int32), 0
+        while i < len(costs):
+            base = (sums[i - 1] if i else 0) - total
+            end = int(np.searchsorted(sums, base + most, "right"))  # the first item that goes beyond the budget
+            before = (sums[end - 1] if end else 0) - base if end > i else total
+            if end < len(costs) and before == 0:
+                end += 1  # it is the first of its bin that costs anything
+            bins[i:end] = b
+            total = (sums[end - 1] if end else 0) - base if end > i else total
+            if end < len(costs):
+                b, total = b + 1, 0
+                bins[end] = b
+            i = end
+        return bins, b, int(total)
+
     def fold(batches):
-        state: dict = {}
+        at, b, total = None, 1, 0
         for pdf in batches:
-            out = []
-            for g, c in zip(pdf[group], pdf[cost]):
-                b, total = state.get(g, (1, 0))
-                if total and total + c > most:
-                    b, total = b + 1, 0
-                state = {g: (b, total + c)} if g not in state else {**state, g: (b, total + c)}
-                out.append(b)
-            yield pdf.assign(bin=pd.Series(out, index=pdf.index, dtype="int32"))
-
-    placed = df.select(group, ordinal, cost).repartition(group).sortWithinPartitions(group, ordinal)
+            costs = pdf[cost].fillna(0).to_numpy(np.int64)
+            out = np.empty(len(pdf), np.int32)
+            changes = np.flatnonzero(pdf[group].ne(pdf[group].shift()).to_numpy())
+            for lo, hi in zip(changes, [*changes[1:], len(pdf)]):
+                if pdf[group].iloc[lo] != at:
+                    at, b, total = pdf[group].iloc[lo], 1, 0
+                out[lo:hi], b, total = one(costs[lo:hi], b, total)
+            yield pdf.assign(bin=pd.Series(out, index=pdf.index))
+
+    placed = df.filter(F.col(group).isNotNull()).select(group, ordinal, cost).repartition(group).sortWithinPartitions(group, ordinal)
     return placed.mapInPandas(fold, f"{group} {kind}, {ordinal} long, {cost} long, bin int")
 
 
+def chunk_groups(df: DataFrame, ordinal: str, size: int = 500) -> DataFrame:
+    """(chunk, n, first, last) of changes sent on in groups of ``size``."""
+    return fixed_chunks(df, ordinal, size).groupBy("chunk").agg(F.count("*").alias("n"), F.min(ordinal).alias("first"), F.max(ordinal).alias("last"))
+
+
+def finished(spark: SparkSession, directory: str, pattern: str) -> DataFrame:
+    """(chunk) of the outputs that lie in a directory already, by the number in their file names."""
+    names = spark.read.format("binaryFile").option("pathGlobFilter", pattern.replace("{}", "*")).load(directory).select(F.element_at(F.split("path", "/"), -1).alias("f"))
+    left, right = (re.escape(x) for x in pattern.split("{}"))
+    return names.select(F.regexp_extract("f", f"^{left}([0-9]+){right}$", 1).try_cast("long").alias("chunk")).filter("chunk IS NOT NULL").distinct()
+
+
 def pending(work: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
     return work.join(done.select(*keys).distinct(), keys, "left_anti")
 

@@ -46,6 +46,28 @@ def xml_text(column: Column) -> Column:
     return texts(column)
 
 
+def xml_entry(column: Column) -> Column:
+    """Struct(id, key, type, forms, texts) of a dictionary entry; '' for attributes that are not there, all null if it is not well formed.
+
+    Forms are the texts of form/orth, texts all texts, trimmed and joined by '; '.
+    """
+
+    @F.pandas_udf("id string, key string, type string, forms string, texts string")
+    def entry(s: pd.Series) -> pd.DataFrame:
+        def one(x):
+            try:
+                root = ElementTree.fromstring(x)
+            except (ElementTree.ParseError, TypeError):
+                return (None,) * 5
+            forms = (t for e in root.iterfind(".//form/orth") if (t := (e.text or "").strip()))
+            texts = (t for x in root.itertext() if (t := x.strip()))
+            return *(root.get(k, "") for k in ("id", "key", "type")), "; ".join(forms), "; ".join(texts)
+
+        return pd.DataFrame([one(x) for x in s], columns=["id", "key", "type", "forms", "texts"])
+
+    return entry(column)
+
+
 class _Markdown(HTMLParser):
     def __init__(self) -> None:
         super().__init__()
@@ -112,21 +134,22 @@ def deep_diff(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return a.join(b, key).select(key, F.explode(F.filter(entries, lambda e: ~e["left_value"].eqNullSafe(e["right_value"]))).alias("e")).select(key, "e.*")
 
 
-def contents_rows(lines: DataFrame, order: str, line: str) -> DataFrame:
+def contents_rows(lines: DataFrame, order: str, line: str, file: str | None = None) -> DataFrame:
     """(chapter_no, chapter, section, path) of a table of contents: lines that begin with '-' are sections of the chapter above.
 
     Raises nothing for a section before any chapter: its chapter is null, for the
-    caller to reject. Blank lines are skipped. One table of contents is one task.
+    caller to reject. Blank lines are skipped. ``file`` tells several tables of
+    contents apart; one of them is one task.
     """
     text = F.trim(line)
-    rows = lines.filter(text != "").select(F.col(order).alias("o"), text.alias("t"), F.lit(0).alias("g"))
+    rows = lines.filter(text != "").select(F.col(order).alias("o"), text.alias("t"), (F.col(file) if file else F.lit(0)).alias("g"))
     head = F.when(~F.col("t").startswith("-"), F.struct("o", "t"))
     filled = fill_headers(rows, "g", "o", head)
     title = lambda c: F.trim(F.replace(F.replace(c, F.lit(","), F.lit("")), F.lit("/"), F.lit(" or ")))
     numbered = filled.withColumn("chapter_no", F.dense_rank().over(Window.partitionBy("g").orderBy("header.o")))
     section = F.when(F.col("t").startswith("-"), title(F.regexp_replace("t", "^-+", "")))
     chapter = title(F.col("header.t"))
-    return numbered.select("chapter_no", chapter.alias("chapter"), section.alias("section"), F.concat_ws("/", chapter, section).alias("path"))
+    return numbered.select(*([F.col("g").alias(file)] if file else []), "chapter_no", chapter.alias("chapter"), section.alias("section"), F.concat_ws("/", chapter, section).alias("path"))
 
 
 def nested_rows(pages: DataFrame, *levels: str) -> DataFrame:

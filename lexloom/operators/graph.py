@@ -1,7 +1,9 @@
 """Nodes and edges as tables: matches and idempotent changes.
 
 Changes are pure functions of the current table and the changes; nothing is
-written in place. Keys are compared with nulls never equal.
+written in place. Keys are compared with nulls never equal. Of several changes of a
+key, the one that counts is told by ``order``; without it, by the values themselves
+(the smallest is the first, the largest the last), so that results never vary.
 """
 
 from __future__ import annotations
@@ -14,7 +16,9 @@ from pyspark.sql import functions as F
 
 def _one_per_key(changes: DataFrame, keys: list[str], order: str | None, last: bool) -> DataFrame:
     if order is None:
-        return changes.dropDuplicates(keys)
+        rest = [c for c in changes.columns if c not in keys]
+        pick = F.max if last else F.min
+        return changes.groupBy(*keys).agg(pick(F.struct(*rest)).alias("_s")).select(*keys, "_s.*") if rest else changes.distinct()
     w = Window.partitionBy(*keys).orderBy(F.desc(order) if last else F.asc(order))
     return changes.withColumn("_r", F.row_number().over(w)).filter("_r = 1").drop("_r")
 
@@ -65,12 +69,13 @@ def or_key_match(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]
     return reduce(DataFrame.unionByName, hits).groupBy(left_key).agg(F.min(first).alias(first))
 
 
-def property_diff(old: DataFrame, new: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """(key, property, old_value, new_value) of what changed, for keys on both sides."""
+def property_diff(old: DataFrame, new: DataFrame, key: str, columns: list[str], drop_nulls: bool = False) -> DataFrame:
+    """(key, property, old_value, new_value) of what changed, for keys on both sides; with ``drop_nulls`` a new null is no change."""
     o = old.select(key, *[F.col(c).cast("string").alias(f"_o_{c}") for c in columns])
     n = new.select(key, *[F.col(c).cast("string").alias(f"_n_{c}") for c in columns])
     entries = F.array(*[F.struct(F.lit(c).alias("property"), F.col(f"_o_{c}").alias("old_value"), F.col(f"_n_{c}").alias("new_value")) for c in columns])
-    changed = F.filter(entries, lambda e: ~e["old_value"].eqNullSafe(e["new_value"]))
+    kept = (lambda e: ~e["old_value"].eqNullSafe(e["new_value"]) & e["new_value"].isNotNull()) if drop_nulls else (lambda e: ~e["old_value"].eqNullSafe(e["new_value"]))
+    changed = F.filter(entries, kept)
     return o.join(n, key).select(key, F.explode(changed).alias("e")).select(key, "e.*")
 
 
@@ -79,8 +84,21 @@ def radical_edges(nodes: DataFrame, key: str, radicals: Column) -> DataFrame:
     return nodes.select(key, F.posexplode(radicals).alias("p", "radical")).filter("radical <> ''").select(key, "radical", (F.col("p") + 1).alias("position")).distinct()
 
 
+def radical_nodes(edges: DataFrame) -> DataFrame:
+    """(radical, position): the nodes that radical edges lead to."""
+    return edges.select("radical", "position").distinct()
+
+
+def bulk_update(current: DataFrame, changes: DataFrame, keys: list[str], order: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """The table after ``match_set``, and (keys, status) of each changed key: updated, or failed where no such row exists."""
+    asked = changes.select(*keys).distinct()
+    there = current.select(*keys).distinct()
+    done = asked.join(there, keys, "left_semi").withColumn("status", F.lit("updated"))
+    return match_set(current, changes, keys, order), done.unionByName(asked.join(there, keys, "left_anti").withColumn("status", F.lit("failed")))
+
+
 def link_or_create(items: DataFrame, roots: DataFrame, words: DataFrame) -> DataFrame:
-    """(item, status, word_key) for items (item, root, plain, normal), roots (root), words (root, plain, normal, word).
+    """(item, status, word_key, reason) for items (item, root, plain, normal), roots (root), words (root, plain, normal, word).
 
     failed: the root is unknown or null; linked: a word under the root has the same
     plain or normal form; created: no word has, and all such items of one root and
@@ -94,8 +112,9 @@ def link_or_create(items: DataFrame, roots: DataFrame, words: DataFrame) -> Data
     one = live.join(best.withColumnRenamed("word", "w1"), (F.col("root") == F.col("r")) & (F.col("plain") == F.col("k")), "left").drop("r", "k")
     two = one.join(best.withColumnRenamed("word", "w2"), (F.col("root") == F.col("r")) & (F.col("normal") == F.col("k")), "left")
     found = F.least("w1", "w2")
-    done = two.select("item", F.when(found.isNotNull(), "linked").otherwise("created").alias("status"), F.coalesce(found.cast("string"), F.concat_ws("|", "root", "normal")).alias("word_key"))
-    failed = known.filter(F.col("_root").isNull()).select("item", F.lit("failed").alias("status"), F.lit(None).cast("string").alias("word_key"))
+    done = two.select("item", F.when(found.isNotNull(), "linked").otherwise("created").alias("status"), F.coalesce(found.cast("string"), F.concat_ws("|", "root", "normal")).alias("word_key"), F.lit(None).cast("string").alias("reason"))
+    why = F.when(F.col("root").isNull(), "no root").otherwise("root not found")
+    failed = known.filter(F.col("_root").isNull()).select("item", F.lit("failed").alias("status"), F.lit(None).cast("string").alias("word_key"), why.alias("reason"))
     return done.unionByName(failed)
 
 

@@ -14,6 +14,7 @@ from ..operators import batches as B
 from ..operators import documents as D
 from ..operators import graph as G
 from ..operators.fuzzy import fuzzy_nearest
+from ..operators.latest import latest_version
 from ..operators.numbering import first_seen, next_ids, number_rows, number_within
 from ..sources.readers import read_csv, tolerant
 from ..sources.tables import table
@@ -179,8 +180,8 @@ def linked_items(s, d):
     return table(s, d, "documents", "doc_id", "root_id").join(c, "root_id", "left_semi").select("doc_id")
 
 
-@query("""WITH t AS (SELECT DISTINCT unnest(regexp_extract_all(english, '[a-z]{4,8}')) AS token FROM word WHERE english IS NOT NULL),
-l AS (SELECT word, min(o) AS o FROM (SELECT unnest(string_split(p_name, ' ')) AS word, p_partkey AS o FROM part) WHERE regexp_matches(word, '^[a-z]{3,9}$') GROUP BY word),
+@query("""WITH t AS (SELECT DISTINCT unnest(regexp_extract_all(lower(english), '[\\p{L}\\p{M}]+')) AS token FROM word WHERE english IS NOT NULL AND english <> 'NA'),
+l AS (SELECT word, min(o) AS o FROM (SELECT unnest(regexp_extract_all(lower(p_name), '[\\p{L}\\p{M}]+')) AS word, p_partkey AS o FROM part) GROUP BY word),
 m AS (SELECT token, word, levenshtein(token, word) AS distance, row_number() OVER (PARTITION BY token ORDER BY levenshtein(token, word), o, word) AS r FROM t, l WHERE levenshtein(token, word) <= 2)
 SELECT token, word, CAST(distance AS INT) AS distance FROM m WHERE r = 1""")
 def fuzzy_nearest_words(s, d):
@@ -199,9 +200,9 @@ def composite_match(s, d):
     return items.select("item_id", *keys).distinct().join(items.filter("part_of_speech = 'noun'").select(*keys).distinct(), keys).groupBy(*keys).agg(_count())
 
 
-@query("WITH w AS (SELECT id, max(root) AS root, max(root_lang) AS root_lang FROM sem_word GROUP BY id) SELECT c.id, CASE WHEN trim(coalesce(c.root_lang, '')) <> '' THEN p.root ELSE c.root END AS resolved FROM w c LEFT JOIN w p ON c.root = p.id")
+@query("WITH w AS (SELECT id, v.root AS root, v.root_lang AS root_lang FROM (SELECT id, arg_max({'root': root, 'root_lang': root_lang}, loaded_at) AS v FROM sem_word WHERE id IS NOT NULL GROUP BY id)) SELECT c.id, CASE WHEN trim(coalesce(c.root_lang, '')) <> '' THEN p.root ELSE c.root END AS resolved FROM w c LEFT JOIN w p ON c.root = p.id")
 def parent_resolve(s, d):
-    w = table(s, d, "sem_word", "id", "root", "root_lang").groupBy("id").agg(F.max("root").alias("root"), F.max("root_lang").alias("root_lang"))
+    w = latest_version(table(s, d, "sem_word", "id", "root", "root_lang", "loaded_at"), "id", "loaded_at", "root", "root_lang")
     p = w.select(F.col("id").alias("p_id"), F.col("root").alias("p_root"))
     derived = F.trim(F.coalesce("root_lang", F.lit(""))) != ""
     return w.join(p, F.col("root") == F.col("p_id"), "left").select("id", F.when(derived, F.col("p_root")).otherwise(F.col("root")).alias("resolved"))
@@ -289,7 +290,7 @@ def next_ids_global(s, d):
     return next_ids(table(s, d, "canonical_word", "entry_id"), table(s, d, "supplier", "s_suppkey"), "entry_id", ["s_suppkey"]).select("entry_id", "s_suppkey")
 
 
-@query("SELECT sura_index, aya_index, count(*) AS n, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY item_id) AS items FROM (SELECT DISTINCT item_id, sura_index, aya_index FROM corpus_item WHERE corpus_id = 2) GROUP BY 1, 2")
+@query("SELECT corpus_id, sura_index, aya_index, count(*) AS n, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY item_id) AS items FROM (SELECT DISTINCT corpus_id, item_id, sura_index, aya_index FROM corpus_item) GROUP BY 1, 2, 3")
 def collect_positions(s, d):
     items = table(s, d, "corpus_item", "corpus_id", "item_id", "sura_index", "aya_index").distinct()
     return items.groupBy("corpus_id", "sura_index", "aya_index").agg(_count(), F.concat_ws(",", F.transform(F.array_sort(F.collect_list("item_id")), lambda x: x.cast("string"))).alias("items"))
@@ -329,10 +330,11 @@ def run_statistics(s, d):
     )
 
 
-@query("SELECT l_orderkey, max(CASE WHEN l_linenumber = 1 THEN l_returnflag END) AS s1_flag, max(CASE WHEN l_linenumber = 2 THEN l_returnflag END) AS s2_flag, max(CASE WHEN l_linenumber = 3 THEN l_returnflag END) AS s3_flag FROM lineitem GROUP BY l_orderkey")
+@query("SELECT l_orderkey, " + ", ".join(f"arg_max(l_returnflag, {{'p': l_partkey, 's': l_suppkey, 'f': l_returnflag}}) FILTER (WHERE l_linenumber = {i}) AS s{i}_flag" for i in (1, 2, 3)) + " FROM lineitem GROUP BY l_orderkey")
 def segments_pivot(s, d):
-    rows = table(s, d, "lineitem", "l_orderkey", "l_linenumber", "l_returnflag")
-    return rows.groupBy("l_orderkey").agg(*[F.max(F.when(F.col("l_linenumber") == i, F.col("l_returnflag"))).alias(f"s{i}_flag") for i in (1, 2, 3)])
+    rows = table(s, d, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag")
+    place = F.struct("l_partkey", "l_suppkey", "l_returnflag")  # of rows that repeat a line the last by place counts
+    return rows.groupBy("l_orderkey").agg(*[F.max_by("l_returnflag", F.when(F.col("l_linenumber") == i, place)).alias(f"s{i}_flag") for i in (1, 2, 3)])
 
 
 @query("SELECT source, row_number() OVER (ORDER BY f) AS seen_no FROM (SELECT source, min(doc_id) AS f FROM documents WHERE source IS NOT NULL GROUP BY source)")
@@ -365,13 +367,28 @@ def strip_and_normalize(s, d):
     return c.select("lemma", X.strip_marks(F.col("lemma")).alias("plain"), X.strip_marks(F.col("lemma"), wide=False).alias("narrow"), X.normalize_arabic(F.col("lemma")).alias("normal"))
 
 
-@query("SELECT DISTINCT arabic, CASE WHEN regexp_matches(arabic, '^[اٱ]?ل..') THEN regexp_replace(arabic, '^[اٱ]?ل', '') ELSE arabic END AS bare FROM word WHERE arabic IS NOT NULL AND NOT regexp_matches(arabic, '[\\x{064B}-\\x{0655}]') AND NOT contains(arabic, chr(10))")
+_MARK, _NARROW = r"[\x{064B}-\x{0655}]", r"[\x{064B}-\x{0652}]"
+
+
+@query(rf"SELECT DISTINCT arabic, regexp_replace(regexp_replace(regexp_replace(regexp_replace(arabic, '^[اٱ]?ل(..)', '\1'), '^{_MARK}{{1,2}}', ''), '^\x{{0651}}', ''), '{_MARK}(\n?)$', '\1') AS bare FROM word WHERE arabic IS NOT NULL")
 def article_strip(s, d):
+    w = table(s, d, "word", "arabic").filter(F.col("arabic").isNotNull()).distinct()
+    return w.select("arabic", X.strip_article(F.col("arabic"), alif=True).alias("bare"))
+
+
+@query(rf"SELECT DISTINCT arabic, regexp_replace(regexp_replace(regexp_replace(regexp_replace(arabic, '^ٱ?ل', ''), '^{_NARROW}{{1,2}}', ''), '^\x{{0651}}', ''), '{_NARROW}(\n?)$', '\1') AS bare FROM word WHERE arabic IS NOT NULL")
+def article_strip_plain(s, d):
     w = table(s, d, "word", "arabic").filter(F.col("arabic").isNotNull()).distinct()
     return w.select("arabic", X.strip_article(F.col("arabic")).alias("bare"))
 
 
-@query(f"SELECT DISTINCT lemma, translate(lemma, '{X.BUCKWALTER.replace(chr(39), chr(39) * 2)}', '{X.ARABIC}') AS arabic FROM corpus_item WHERE regexp_full_match(lemma, '[A-Za-z$*~]+')")
+@query("SELECT DISTINCT lemma, CASE WHEN length(lemma) = 3 THEN lemma[1] || '-' || lemma[2] || '-' || lemma[3] END AS root, CASE WHEN length(lemma) = 3 THEN lemma[3] END AS r3, CASE WHEN length(lemma) = 3 THEN lemma[2] END AS r2, CASE WHEN length(lemma) = 3 THEN lemma[1] END AS r1 FROM corpus_item WHERE lemma IS NOT NULL")
+def three_letter_roots(s, d):
+    rows = table(s, d, "corpus_item", "lemma").filter("lemma IS NOT NULL").distinct()
+    return rows.select("lemma", X.three_letters(F.col("lemma")).alias("x")).select("lemma", "x.root", "x.r3", "x.r2", "x.r1")
+
+
+@query(f"SELECT DISTINCT lemma, translate(lemma, '{X.BUCKWALTER.replace(chr(39), chr(39) * 2)}', '{X.ARABIC}') AS arabic FROM corpus_item WHERE regexp_full_match(lemma, '[{"".join(chr(92) + x if not x.isalnum() else x for x in X.BUCKWALTER).replace(chr(39), chr(39) * 2)}]+')")
 def buckwalter(s, d):
     letters = "".join("\\" + x if not x.isalnum() else x for x in X.BUCKWALTER)
     rows = table(s, d, "corpus_item", "lemma").filter(F.col("lemma").rlike(rf"^[{letters}]+\z")).distinct()
@@ -605,7 +622,7 @@ def response_fields(s, d):
 def csv_roundtrip(s, d):
     path = f"{scratch_root(s)}/csv-{uuid.uuid4().hex}"
     write_csv(table(s, d, "part", "p_partkey", "p_name", "p_brand"), path)
-    return tolerant(read_csv(s, path, "p_partkey", "p_name"), "p_partkey")
+    return tolerant(read_csv(s, path, "p_partkey", "p_name", place="place"), "p_partkey", "place").drop("place")
 
 
 @query("SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n_events FROM events GROUP BY ALL")

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.numbering import number_rows, number_within
+
 
 def require(df: DataFrame, *columns: str) -> DataFrame:
     """``df``; raises ValueError naming the columns it lacks."""
@@ -16,17 +19,24 @@ def require(df: DataFrame, *columns: str) -> DataFrame:
     return df
 
 
-def read_csv(spark: SparkSession, path: str | list[str], *required: str, sep: str = ",", schema: str | None = None) -> DataFrame:
-    """Header CSV in UTF-8, with or without a byte order mark, quoted fields over several lines; all strings unless a schema is given."""
+def _place() -> Column:
+    """Where a row stands: file, block of the file, and the reader's running number within it."""
+    return F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+
+
+def read_csv(spark: SparkSession, path: str | list[str], *required: str, sep: str = ",", schema: str | None = None, place: str | None = None) -> DataFrame:
+    """Header CSV in UTF-8, with or without a byte order mark, quoted fields over several lines; all strings unless a schema is given.
+
+    ``place`` names a column to be added that orders rows as they stand in their files.
+    """
     reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("sep", sep)
-    return require((reader.schema(schema) if schema else reader).csv(path), *required)
+    rows = require((reader.schema(schema) if schema else reader).csv(path), *required)
+    return rows.select("*", _place().alias(place)) if place else rows
 
 
-def tolerant(df: DataFrame, key: str, order: str | None = None) -> DataFrame:
-    """Rows whose key is a whole number; of a repeated key the last by ``order``."""
+def tolerant(df: DataFrame, key: str, order: str) -> DataFrame:
+    """Rows whose key is a whole number; of a repeated key the last by ``order``, such as the ``place`` of a row."""
     good = df.withColumn(key, F.col(key).try_cast("long")).filter(F.col(key).isNotNull())
-    if order is None:
-        return good.dropDuplicates([key])
     last = Window.partitionBy(key).orderBy(F.desc(order))
     return good.withColumn("_r", F.row_number().over(last)).filter("_r = 1").drop("_r")
 
@@ -51,10 +61,10 @@ def read_numbered(spark: SparkSession, pattern: str, count: int, skip_missing: b
 
 
 def read_preamble_tsv(spark: SparkSession, path: str, preamble: int, schema: str) -> DataFrame:
-    """A header TSV after ``preamble`` lines, with ``ordinal`` from 1. One file, read by its lines' offsets."""
-    lines = spark.read.text(path).rdd.zipWithIndex().map(lambda x: (x[1], x[0][0])).toDF("i long, line string")
-    body = lines.filter(F.col("i") > preamble)
-    return body.select((F.col("i") - preamble).alias("ordinal"), F.from_csv("line", schema, {"sep": "\t"}).alias("r")).select("ordinal", "r.*")
+    """A header TSV after ``preamble`` lines, with ``ordinal`` from 1. One file; lines are numbered by their places."""
+    lines = number_rows(spark.read.text(path).select("value", _place().alias("place")), ["place"], "i")
+    body = lines.filter(F.col("i") > preamble + 1)
+    return body.select((F.col("i") - preamble - 1).alias("ordinal"), F.from_csv("value", schema, {"sep": "\t"}).alias("r")).select("ordinal", "r.*")
 
 
 def read_verses(spark: SparkSession, path: str) -> DataFrame:
@@ -72,10 +82,9 @@ def read_feed(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(line_number, line): stripped lines without the blank ones, which count."""
-    whole = spark.read.text(path, wholetext=True)
-    lines = whole.select(F.posexplode(F.split("value", "\n")).alias("i", "line"))
-    return lines.select((F.col("i") + 1).alias("line_number"), F.trim("line").alias("line")).filter("line <> ''")
+    """(file_name, line_number, line): stripped lines without the blank ones, which count. A file may lie in many tasks."""
+    lines = spark.read.text(path).select(F.col("_metadata.file_name").alias("file_name"), F.trim("value").alias("line"), _place().alias("place"))
+    return number_within(lines, ["file_name"], ["place"], "line_number").filter("line <> ''").select("file_name", "line_number", "line")
 
 
 def read_whole(spark: SparkSession, path: str) -> DataFrame:
@@ -91,5 +100,12 @@ def read_conversations(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def read_keyed_json(spark: SparkSession, path: str, schema: str, key: str = "id") -> DataFrame:
-    """A JSON array of objects, one row a key."""
-    return spark.read.schema(schema).option("multiLine", True).json(path).dropDuplicates([key])
+    """A JSON array of objects, one row a key: the last."""
+    rows = spark.read.schema(schema).option("multiLine", True).json(path).select("*", _place().alias("_place"))
+    last = F.max_by(F.struct(*[c for c in rows.columns if c != "_place"]), "_place")
+    return rows.filter(F.col(key).isNotNull()).groupBy(key).agg(last.alias("_r")).select("_r.*")
+
+
+def dropna(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows with a value in all of ``columns``; a plain filter, which reaches the scan."""
+    return df.filter(reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in columns)))

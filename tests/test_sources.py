@@ -31,7 +31,7 @@ def test_numbered_preamble_lines_and_xml(spark, tmp_path):
     (tmp_path / "q.xml").write_text('<quran><sura index="1" name="n"><aya index="1" text="a b"/><aya index="2" text="c"/></sura></quran>')
     assert sorted(tuple(r) for r in R.read_verses(spark, str(tmp_path / "q.xml")).collect()) == [(1, "n", 1, "a b"), (1, "n", 2, "c")]
     (tmp_path / "p.txt").write_text(" a \n\n b\n")
-    assert [tuple(r) for r in R.read_lines(spark, str(tmp_path / "p.txt")).collect()] == [(1, "a"), (3, "b")]
+    assert sorted(tuple(r) for r in R.read_lines(spark, str(tmp_path / "p.txt")).collect()) == [("p.txt", 1, "a"), ("p.txt", 3, "b")]
 
 
 def test_conversations_and_feed(spark, tmp_path):
@@ -57,5 +57,5 @@ def test_writers(spark, tmp_path):
     assert R.read_csv(spark, str(tmp_path / "d"), "id").count() == 4
     W.write_chunks(df.withColumn("chunk", F.col("id")), str(tmp_path / "k"), "chunk")
     assert sorted(p.name for p in (tmp_path / "k").glob("chunk=*")) == ["chunk=1", "chunk=2"]
-    W.write_markdown(df.fillna("").withColumn("f", F.concat("t", F.lit("x.md"))), "f", "t", str(tmp_path / "md"))
+    W.write_files(df.fillna("").withColumn("f", F.concat("t", F.lit("x.md"))), "f", "t", str(tmp_path / "md"))
     assert sorted(p.name for p in (tmp_path / "md").iterdir()) == ["ax.md", "x.md"]

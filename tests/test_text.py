@@ -15,7 +15,7 @@ def one(spark, value, *columns, kind="string"):
 @pytest.mark.parametrize("radicals, root", [((11, 22, 23), "س-ل-م"), ((21, 2, 1), "ك-ت-ب"), ((19, 17, 22), "ف-ع-ل"), ((99, 1, 2), "?99-ب-ت")])
 def test_roots_from_radicals(spark, radicals, root):
     df = spark.createDataFrame([(*radicals, None)], "a int, b int, c int, d int")
-    assert df.select(X.reconstruct_root("a" and F.col("a"), F.col("b"), F.col("c"), F.col("d"))).first()[0] == root
+    assert df.select(X.reconstruct_root(F.col("a"), F.col("b"), F.col("c"), F.col("d"))).first()[0] == root
 
 
 @pytest.mark.parametrize("word", ["مَسْؤُول", "أَسْدَخ", "آن", "", "abc é", None])
@@ -48,8 +48,10 @@ def test_classes_types_and_parts(spark):
 
 
 def test_tables_and_providers(spark):
-    for code, want in (("4", "أَفْعَلَ"), ("Q. Q. 2", "تَفَعْلَلَ"), ("R.Q.1", "فَعْلَلَ"), ("Q.3", "افْعَنْلَلَ"), ("99", None), (None, None)):
+    for code, want in (("4", "أَفْعَلَ"), ("Q. Q. 2", "تَفَعْلَلَ"), ("R.Q.1", "فَعْلَلَ"), ("Q.3", None), ("1 3", None), ("99", None), (None, None)):
         assert one(spark, code, V.weight_of(F.col("x"))) == (want,)
+    assert one(spark, "Q.3", V.weight_of(F.col("x"), any_spelling=True), V.weight_of(F.col("x"), {"Q.3": "x"})) == ("افْعَنْلَلَ", "x")
+    assert one(spark, "1 3", V.weight_of(F.col("x"), any_spelling=True)) == (None,)
     assert one(spark, "اسم العلة", V.form_number(F.col("x")), V.pattern_name(F.col("x"))) == (9, "UNKNOWN")
     assert one(spark, "a b, c", V.token_count(F.col("x")), V.token_count(F.col("x"), len), V.analyses(F.col("x"), lambda w: [])) == (4, 6, ["NA"])
     assert one(spark, " ab\r\n", V.clean_filename(F.col("x")), V.code_points(F.lit("ab"))) == ("AB", "61 62")
