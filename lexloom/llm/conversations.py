@@ -7,50 +7,51 @@ by a range-partitioned sort, so that no conversation needs one task.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stage
 
-ROUNDS = 40  # jumps double, so this covers 2**40 messages of one conversation
-
 
 def thread(rows: DataFrame, node: str, parent: str, speaker: str) -> DataFrame:
     """(node, root, root_speaker, depth, broken) by iterative pointer jumping.
 
     ``rows``: one row per node, integer ids. A null parent is a start. Nodes whose
     way up leaves the table (orphans) or never ends (cycles) have broken = True and
-    a null root and depth. Each round joins the nodes still on their way with all
-    nodes' pointers and doubles the distance they see; rounds end when none is
-    left, or when those left have gone farther than any path can, which are cycles. Null nodes are left out; an empty table gives an empty result.
+    a null root and depth. Each round joins the nodes still on their way, and only
+    those, with where they point, and doubles the distance they see. Rounds end when
+    none is left, or when those left have gone farther than there are rows, which
+    are cycles. Null nodes are left out; an empty table gives an empty result.
     """
     ids = rows.filter(F.col(node).isNotNull()).select(F.col(node).cast("long").alias("n"), F.col(parent).cast("long").alias("p"), F.col(speaker).alias("s"))
-    state = stage(ids.select("n", F.coalesce("p", "n").alias("at"), F.when(F.col("p").isNull(), F.col("s")).alias("at_s"), F.when(F.col("p").isNull(), 0).otherwise(1).cast("long").alias("d"), F.col("p").isNull().alias("done"), F.lit(False).alias("lost")), "pointers")
-    settled = []
-    pointers = state
-    for _ in range(ROUNDS):
-        going = pointers.filter("NOT done")
-        if going.isEmpty():
+    start = F.col("p").isNull()
+    state = stage(
+        ids.select("n", F.coalesce("p", "n").alias("at"), F.when(start, F.col("s")).alias("at_s"), F.when(start, 0).otherwise(1).cast("long").alias("d"), start.alias("done"), F.lit(False).alias("lost")),
+        "pointers",
+    )
+    settled, moving = [state.filter("done")], state.filter("NOT done")
+    for _ in range(state.count().bit_length()):
+        if moving.isEmpty():
             break
-        target = pointers.select(F.col("n").alias("t"), F.col("at").alias("t_at"), F.col("at_s").alias("t_s"), F.col("d").alias("t_d"), F.col("done").alias("t_done"), F.col("lost").alias("t_lost"))
-        jumped = pointers.join(target, ~F.col("done") & (F.col("at") == F.col("t")), "left")
-        found = F.col("t").isNotNull()
-        move = ~F.col("done") & found
-        pointers = stage(
-            jumped.select(
+        everything = reduce(DataFrame.unionByName, [*settled, moving])
+        target = everything.select(*[F.col(c).alias(f"t_{c}") for c in everything.columns])
+        found = F.col("t_n").isNotNull()
+        moved = stage(
+            moving.join(target, F.col("at") == F.col("t_n"), "left").select(
                 "n",
-                F.when(move, F.col("t_at")).otherwise(F.col("at")).alias("at"),
-                F.when(move, F.col("t_s")).otherwise(F.col("at_s")).alias("at_s"),
-                # A cycle's distance grows without end; it is cut where no path can be so long.
-                F.when(move, F.least(F.col("d") + F.col("t_d"), F.lit(1 << 60))).otherwise(F.col("d")).alias("d"),
-                (F.col("done") | ~found | F.col("t_done")).alias("done"),
-                (F.col("lost") | (~F.col("done") & (~found | F.coalesce("t_lost", F.lit(False))))).alias("lost"),
+                F.when(found, F.col("t_at")).otherwise(F.col("at")).alias("at"),
+                F.when(found, F.col("t_at_s")).alias("at_s"),
+                F.when(found, F.col("d") + F.col("t_d")).otherwise(F.col("d")).alias("d"),
+                (~found | F.col("t_done")).alias("done"),
+                (~found | F.col("t_lost")).alias("lost"),
             ),
             "pointers",
         )
-        if not pointers.filter(~F.col("done") & (F.col("d") < F.lit(1 << 40))).isEmpty():
-            continue
-        break
+        settled.append(moved.filter("done"))
+        moving = moved.filter("NOT done")
+    pointers = reduce(DataFrame.unionByName, [*settled, moving])
     broken = F.col("lost") | ~F.col("done")
     return pointers.select(
         F.col("n").alias(node),
