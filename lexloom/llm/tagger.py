@@ -107,12 +107,37 @@ class Tagger:
             out[t] = h
         return out, saved
 
-    def emissions(self, x: np.ndarray, mask: np.ndarray) -> np.ndarray:
-        """(T, B, K) for padded classes (T, B)."""
-        hf, _ = self._run(x, mask, "f", False)
-        hb, _ = self._run(x, mask, "b", False)
+    def _states(self, x: np.ndarray, alive: np.ndarray, d: str) -> np.ndarray:
+        """h: (T, B, H) as ``_run`` gives, for columns sorted by length, longest first; ``alive`` columns at each step are worked on, in place."""
         hid = self.hidden
-        return hf @ self.w["out"][:hid] + hb @ self.w["out"][hid:] + self.w["ob"]
+        scale = np.ones(4 * hid, np.float32)
+        scale[: 3 * hid] = 0.5  # a sigmoid is a tanh of half its argument, so one call does for all gates
+        table, wh = (self.w["emb"] @ self.w[f"{d}x"] + self.w[f"{d}b"]) * scale, self.w[f"{d}h"] * scale
+        steps, n = x.shape
+        h, c, out = np.zeros((n, hid), np.float32), np.zeros((n, hid), np.float32), np.zeros((steps, n, hid), np.float32)
+        gates, squashed = np.empty((n, 4 * hid), np.float32), np.empty((n, hid), np.float32)
+        for t in range(steps) if d == "f" else range(steps - 1, -1, -1):
+            k = alive[t]
+            g, ck, s = gates[:k], c[:k], squashed[:k]
+            np.matmul(h[:k], wh, out=g)
+            g += table[x[t, :k]]
+            np.tanh(g, out=g)
+            ifo, z = g[:, : 3 * hid], g[:, 3 * hid :]
+            ifo *= 0.5
+            ifo += 0.5
+            z *= g[:, :hid]
+            ck *= g[:, hid : 2 * hid]
+            ck += z
+            np.tanh(ck, out=s)
+            np.multiply(s, g[:, 2 * hid : 3 * hid], out=h[:k])
+            out[t, :k] = h[:k]
+        return out
+
+    def emissions(self, x: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """(T, B, K) for padded classes (T, B), columns sorted by length, longest first."""
+        alive = (lengths[None, :] > np.arange(len(x))[:, None]).sum(1)
+        hid = self.hidden
+        return self._states(x, alive, "f") @ self.w["out"][:hid] + self._states(x, alive, "b") @ self.w["out"][hid:] + self.w["ob"]
 
     def _run_back(self, x, dh_all, saved, d, grads):
         hid = self.hidden
@@ -192,9 +217,8 @@ class Tagger:
             at = back[t, rows, at]
         return out
 
-    def label(self, texts: list[str]) -> list[np.ndarray]:
-        """The label of every character of every text."""
-        codes = [encode(t) for t in texts]
+    def label(self, codes: list[np.ndarray]) -> list[np.ndarray]:
+        """The label of every character of every encoded text."""
         spans = []
         for n, c in enumerate(codes):
             lo = 0
@@ -206,14 +230,14 @@ class Tagger:
         merged = [np.zeros((len(c), len(LABELS)), np.float32) for c in codes]
         weight = [np.zeros((len(c), 1), np.float32) for c in codes]
         ramp = np.minimum(np.arange(1, WINDOW + 1), WINDOW - STRIDE).astype(np.float32)
-        spans.sort(key=lambda s: s[2] - s[1])
+        spans.sort(key=lambda s: s[1] - s[2])
         for b in range(0, len(spans), BATCH):
             part = spans[b : b + BATCH]
-            longest = part[-1][2] - part[-1][1]
-            x, mask = np.zeros((longest, len(part)), np.int16), np.zeros((longest, len(part)), np.float32)
+            sizes = np.array([hi - lo for _, lo, hi in part])
+            x = np.zeros((sizes[0], len(part)), np.int16)
             for j, (n, lo, hi) in enumerate(part):
-                x[: hi - lo, j], mask[: hi - lo, j] = codes[n][lo:hi], 1
-            e = self.emissions(x, mask)
+                x[: hi - lo, j] = codes[n][lo:hi]
+            e = self.emissions(x, sizes)
             for j, (n, lo, hi) in enumerate(part):
                 size = hi - lo
                 w = np.ones(size, np.float32) * ramp[-1]
@@ -223,8 +247,8 @@ class Tagger:
                     w = np.minimum(w, ramp[:size][::-1])
                 merged[n][lo:hi] += e[:size, j] * w[:, None]
                 weight[n][lo:hi] += w[:, None]
-        out: list[np.ndarray] = [np.zeros(0, np.int8)] * len(texts)
-        order = sorted((n for n in range(len(texts)) if len(codes[n])), key=lambda n: len(codes[n]))
+        out: list[np.ndarray] = [np.zeros(0, np.int8)] * len(codes)
+        order = sorted((n for n in range(len(codes)) if len(codes[n])), key=lambda n: len(codes[n]))
         at = 0
         while at < len(order):
             part = order[at : at + BATCH]
@@ -241,9 +265,16 @@ class Tagger:
         return out
 
     def tag(self, texts: list[str]) -> list[list[tuple[str, int, int]]]:
-        """(kind, start, end) of every span of every text."""
+        """(kind, start, end) of every span of every text. Texts of the same character classes, as those that differ in digits only, are labelled once."""
         out = []
-        for path in self.label(texts):
+        seen: dict[bytes, int] = {}
+        codes, which = [], []
+        for code in map(encode, texts):
+            which.append(seen.setdefault(code.tobytes(), len(seen)))
+            if which[-1] == len(codes):
+                codes.append(code)
+        paths = self.label(codes)
+        for path in map(paths.__getitem__, which):
             spans: list[tuple[str, int, int]] = []
             hits = np.flatnonzero(path)
             i = 0
