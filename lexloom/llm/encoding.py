@@ -73,24 +73,30 @@ def chains(depth: int = DEPTH) -> list[tuple[str, ...]]:
     return out
 
 
-def _class(codec: str, lo: int, hi: int) -> str:
-    return "[" + "".join(sorted({f"\\u{ord(_chars(codec)[b]):04x}" for b in range(lo, hi)})) + "]"
+def _ranges(codes: set[int]) -> str:
+    """A character class in as few ranges as there are: regular expressions try one after the other."""
+    starts = [c for c in sorted(codes) if c - 1 not in codes]
+    ends = [c for c in sorted(codes) if c + 1 not in codes]
+    return "[" + "".join(f"\\u{a:04x}" if a == b else f"\\u{a:04x}-\\u{b:04x}" for a, b in zip(starts, ends)) + "]"
+
+
+def _codes(codec: str, lo: int, hi: int) -> set[int]:
+    own = {ord(_chars(codec)[b]) for b in range(lo, hi)}
+    return own | set(range(0x80, 0xA0)) if codec == "cp1252" and (lo, hi) == (0x80, 0xC0) else own
 
 
 @lru_cache(maxsize=None)
 def signature(codec: str) -> str:
     """A pattern of UTF-8's shape in a codec's characters; good for Java and Python."""
-    tail = _class(codec, 0x80, 0xC0)
-    if codec == "cp1252":
-        tail = tail[:-1] + "\\u0080-\\u009f]"
-    two, three, four = _class(codec, 0xC2, 0xE0), _class(codec, 0xE0, 0xF0), _class(codec, 0xF0, 0xF5)
-    return f"{two}{tail}|{three}{tail}{tail}|{four}{tail}{tail}{tail}"
+    tail, two, three, four = (_ranges(_codes(codec, lo, hi)) for lo, hi in ((0x80, 0xC0), (0xC2, 0xE0), (0xE0, 0xF0), (0xF0, 0xF5)))
+    return f"(?:{two}{tail}|{three}{tail}{tail}|{four}{tail}{tail}{tail})"
 
 
-SIGNATURE = "|".join(signature(c) for c in CODECS)
+#: One look at a character rules most of them out as first bytes.
+SIGNATURE = r"(?![\x00-\x7f])(?=" + _ranges(set().union(*(_codes(c, 0xC2, 0xF5) for c in CODECS))) + ")(?:" + "|".join(signature(c) for c in CODECS) + ")"
 SUSPICIOUS = f"{SIGNATURE}|{LEGACY_SHAPE}|[\\u0080-\\u009f]"
-#: A character that every suspicious text has: a byte after the first of one of UTF-8's, or from the upper half of Latin-1.
-NEEDED = "[" + "".join(_class(c, 0x80, 0xC0)[1:-1] for c in CODECS) + "\\u0080-\\u009f\\u00a1-\\u00ff]"
+#: A character that every suspicious text has: a byte after the first of one of UTF-8's, or from the upper half of Latin-1. The ranges of plain letters come first, to be ruled out fast.
+NEEDED = r"(?![\x00-\x7f\u0100-\u0151\u0620-\u0652])" + _ranges(set(range(0x80, 0xA0)) | set(range(0xA1, 0x100)).union(*(_codes(c, 0x80, 0xC0) for c in CODECS)))
 _LEGACY, _CONTROL, _LATIN = re.compile(LEGACY_SHAPE), re.compile("[\x80-\x9f]"), re.compile("[A-Za-zÀ-ÿ]")
 
 
@@ -180,7 +186,9 @@ def originals(tokens: DataFrame) -> DataFrame:
             rows = [(g, o, n) for o, n in zip(pdf["original"], pdf["n"]) for g in _forms(o)]
             yield pd.DataFrame(rows, columns=["token", "original", "n"]).astype({"n": "int64"})
 
-    table = vocabulary.mapInPandas(garbled, "token string, original string, n long")
+    # Garbling costs far more than its bytes tell, so the words are spread over all tasks and not by size.
+    parts = int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    table = vocabulary.repartition(parts).mapInPandas(garbled, "token string, original string, n long")
     rank = Window.partitionBy("token").orderBy(F.desc("n"), "original")
     return table.join(suspects, "token").withColumn("r", F.row_number().over(rank)).filter("r = 1").select("token", "original")
 
@@ -207,8 +215,10 @@ def restore(texts: DataFrame, keys: list[str], column: str) -> DataFrame:
     lost = F.col("_text").contains(LOST) | (F.col("_text").contains("?") & F.col("_text").rlike(LOST_MARKS))
     masked = F.col("_text").contains("?") & F.col("_text").rlike(r"[A-Za-z]\?")
     # Whatever may be a case, found in one pass; all words are taken in another.
-    cases = rows.select("*", lost.alias("_lost"), masked.alias("_masked"), suspicious(F.col("_text")).alias("_odd"))
-    cases = stage(cases.filter("_lost OR _masked OR _odd").dropDuplicates(keys), "cases")
+    # Generated, as the planner would push a filter on plain columns down and compute them twice.
+    flags = F.explode_outer(F.array(F.struct(lost.alias("_lost"), masked.alias("_masked"), suspicious(F.col("_text")).alias("_odd")))).alias("f")
+    cases = rows.select("*", flags).filter("f._lost OR f._masked OR f._odd").select(*keys, "_text", "f.*")
+    cases = stage(cases.dropDuplicates(keys), "cases")
     tokens = words(rows, "_text")
     ended = stage(masked_ends(cases.filter("_masked AND NOT _lost"), tokens, keys), "ended")
     gone = cases.filter("_lost").select(*keys).unionByName(ended).withColumn("restored", F.lit(""))
