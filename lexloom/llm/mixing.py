@@ -19,6 +19,7 @@ from __future__ import annotations
 import math
 import re
 from functools import lru_cache
+from pathlib import Path
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -39,14 +40,17 @@ REMEMBERED = 200_000
 _CHUNK = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 
 
+#: Contents of tokenizer files, where a driver has sent them; elsewhere they are read.
+_SENT: dict[str, bytes] = {}
+
+
 @lru_cache(maxsize=2)
 def _encoding(path: str):
     import base64
 
     import tiktoken
 
-    with open(path, "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, (_SENT.get(path) or Path(path).read_bytes()).splitlines())}
     return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
@@ -73,10 +77,15 @@ def count_tokens(text: str, path: str = TOKENIZER) -> int:
 
 
 def sizes(docs: DataFrame, key: str, text: str, source: str, tokenizer: str = TOKENIZER) -> DataFrame:
-    """(key, source, n_tokens); null texts have none. Keys that repeat count once, with their largest text."""
+    """(key, source, n_tokens); null texts have none. Keys that repeat count once, with their largest text.
+
+    The tokenizer's file, some 1 MB, is read by the driver and sent to the tasks.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(Path(tokenizer).read_bytes())
 
     @F.pandas_udf("long")
     def tokens(t: pd.Series) -> pd.Series:
+        _SENT.setdefault(tokenizer, shared.value)
         return pd.Series([0 if x is None else count_tokens(x, tokenizer) for x in t], dtype="int64")
 
     sized = docs.select(F.col(key), F.col(source), tokens(text).alias("n_tokens"))
