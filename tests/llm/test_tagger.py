@@ -5,7 +5,7 @@ import pytest
 
 from lexloom.llm.pii import check, FORMS, find_personal, redact, spans, tagger
 from lexloom.llm.tagger import LABELS, N_CLASSES, Tagger, encode
-from lexloom.llm.train_tagger import compose, score, train
+from lexloom.llm.train_tagger import compose, make, score, train, windows
 
 CARRIERS = ["Thanks, that helps a lot!", "Form 12 again???", "ok", "هل كتاب من ك-ت-ب أم من غيره؟", "The Brook Lane reader, vol. 12, has it twice"]
 NAMES = ["Rousa Lunpai", "Teādīn Durnov", "شمفاون السيماموناي", "Báipo Drïmfem"]
@@ -28,6 +28,17 @@ def test_gradients():
         assert abs((up - down) / 2e-3 - g[k][i]) < 2e-3
 
 
+def test_parts_of_the_forms_are_apart():
+    rng = random.Random(6)
+    seen, unseen = ({make(k, rng, NAMES, p) for k in ("email", "id_number") for _ in range(300)} for p in (0, 1))
+    assert not seen & unseen and not {x.rsplit("@")[-1] for x in seen if "@" in x} & {x.rsplit("@")[-1] for x in unseen if "@" in x}
+    data = [compose(rng, CARRIERS, NAMES, 0, 0.5) for _ in range(200)] + [("a" * 500, [("person", 300, 310)])]
+    assert all(t[a:b].strip(" ") == t[a:b] for t, s in data for _, a, b in s)
+    # Windows cover every text whole.
+    assert max(len(x) for x, _ in windows(data)) <= 160 and sum(1 for _ in windows(data[-1:])) == 4
+    assert sum(int((y > 0).sum()) for _, y in windows(data[-1:])) >= 10
+
+
 def test_training_learns():
     model = train(CARRIERS, NAMES, texts=2400, epochs=6, hidden=24)
     rng = random.Random(5)
@@ -60,9 +71,9 @@ def test_forms(text, want):
 
 def test_frames(spark):
     rows = [(1, None), (2, ""), (3, "  "), (4, "national id: 784-1917-8701384-4"), (5, "national id: 784-1917-8701384-4"), (6, "ok")]
-    df = spark.createDataFrame([(i, t, "v") for i, t in rows], "msg_id int, content string, val string")
-    assert [tuple(r)[3:] for r in find_personal(df, "content").collect()] == [("id_number", "784-1917-8701384-4")]
-    assert redact(df, "content").first().redacted == "national id: <ID_NUMBER>"
+    df = spark.createDataFrame([(i, t, "v") for i, t in rows], "msg_id int, content string, other string")
+    assert sorted((r.msg_id, r.other, r.start, r.pii_kind, r.val) for r in find_personal(df, "content").collect()) == [(i, "v", 13, "id_number", "784-1917-8701384-4") for i in (4, 5)]
+    assert sorted((r.msg_id, r.redacted) for r in redact(df, "content").collect()) == [(i, "national id: <ID_NUMBER>") for i in (4, 5)]
     assert find_personal(df.limit(0), "content").count() == 0
     assert set(FORMS) == {"email", "phone", "id_number", "address"} and len(encode("aé٣")) == 3
 
