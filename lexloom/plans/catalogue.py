@@ -489,7 +489,8 @@ def text_lines(s, d):
     return lines.select("doc_id", (F.col("p") + 1).cast("long").alias("line_number"), F.trim("l").alias("line")).filter("line <> ''")
 
 
-@query()
+# The markup is '<form><h1>id</h1><p>text</p></form>': its texts are 'id; text', its Markdown '# id', a blank line and the text.
+@query(r"SELECT doc_id, length(doc_id::VARCHAR) + CASE WHEN regexp_matches(text, '\S') THEN 2 + length(regexp_replace(text, '^\s+|\s+$', '', 'g')) ELSE 0 END AS n_text, length(regexp_replace('# ' || doc_id || chr(10) || chr(10) || text, '\s+$', '')) AS n_markdown FROM documents")
 def xml_and_markdown(s, d):
     t = F.replace(F.replace("text", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
     doc = F.concat(F.lit("<form><h1>"), F.col("doc_id").cast("string"), F.lit("</h1><p>"), t, F.lit("</p></form>"))

@@ -15,6 +15,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_SCRATCH: dict[str, str] = {}
+_STAGED: dict[str, list[str]] = {}
 
 
 def build_session(app: str = "lexloom", master: str = "local[*]", partitions: int = 8, **conf: str) -> SparkSession:
@@ -58,13 +59,24 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _STAGED.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, name: str) -> None:
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def unstage(*staged: DataFrame) -> None:
     """Delete the files behind staged tables that no later plan reads."""
     for df in staged:
-        context = df.sparkSession.sparkContext
         for name in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-            path = context._jvm.org.apache.hadoop.fs.Path(name)
-            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+            _delete(df.sparkSession, name)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete all tables this application has staged; to be called once its results are written, for until then they are read."""
+    for path in _STAGED.pop(spark.sparkContext.applicationId, []):
+        _delete(spark, path)

@@ -8,7 +8,7 @@ from lexloom.operators import graph as G
 from lexloom.operators import providers as P
 from lexloom.operators import upserts as U
 from lexloom.operators.paging import pages
-from lexloom.session import scratch_root, stage, unstage
+from lexloom.session import release, scratch_root, stage, unstage
 from lexloom.sources import writers as W
 
 
@@ -113,3 +113,7 @@ def test_staged_tables_can_be_removed(spark, tmp_path):
     import os
 
     assert not any(os.path.exists(f.removeprefix("file://")) for f in files) and scratch_root(spark)
+    again = [stage(spark.range(5), "again") for _ in range(2)]
+    files = [f for df in again for f in df.inputFiles()]
+    release(spark)
+    assert files and not any(os.path.exists(f.removeprefix("file://")) for f in files)
