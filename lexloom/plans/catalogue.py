@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 import uuid
 from collections.abc import Callable
 
@@ -361,13 +362,23 @@ def fold_words(s, d):
     return table(s, d, "canonical_word", "entry_id", "arabic").select("entry_id", "arabic", _fold(F.col("arabic")).alias("normal"))
 
 
-@query()
+_MARK, _NARROW = r"[\x{064B}-\x{0655}]", r"[\x{064B}-\x{0652}]"
+
+
+def _decomposed(column: str) -> str:
+    """SQL for NFKD of letters in Latin and Arabic script; the order of marks, which the queries take off, is left as it is."""
+    blocks = (0xA0, 0x250), (0x600, 0x700), (0x1E00, 0x1F00), (0xFB50, 0xFE00), (0xFE70, 0xFF00)
+    pairs = [(chr(i), n) for lo, hi in blocks for i in range(lo, hi) if (n := unicodedata.normalize("NFKD", chr(i))) != chr(i)]
+    keys, values = (", ".join("'" + x.replace("'", "''") + "'" for x in side) for side in zip(*pairs))
+    return f"array_to_string(list_transform(string_split({column}, ''), lambda c: coalesce(m[c], c)), '') AS nfkd FROM (SELECT *, map([{keys}], [{values}]) AS m FROM"
+
+
+@query(f"SELECT lemma, regexp_replace(nfkd, '{_MARK}', '', 'g') AS plain, regexp_replace(nfkd, '{_NARROW}', '', 'g') AS narrow, translate(regexp_replace(nfkd, '{_MARK}', '', 'g'), '{X.FOLD_FROM}', '{X.FOLD_TO}') AS normal FROM (SELECT lemma, {_decomposed('lemma')} (SELECT DISTINCT lemma FROM corpus_item WHERE lemma IS NOT NULL)))")
 def strip_and_normalize(s, d):
     c = table(s, d, "corpus_item", "lemma").filter("lemma IS NOT NULL").distinct()
     return c.select("lemma", X.strip_marks(F.col("lemma")).alias("plain"), X.strip_marks(F.col("lemma"), wide=False).alias("narrow"), X.normalize_arabic(F.col("lemma")).alias("normal"))
 
 
-_MARK, _NARROW = r"[\x{064B}-\x{0655}]", r"[\x{064B}-\x{0652}]"
 
 
 @query(rf"SELECT DISTINCT arabic, regexp_replace(regexp_replace(regexp_replace(regexp_replace(arabic, '^[اٱ]?ل(..)', '\1'), '^{_MARK}{{1,2}}', ''), '^\x{{0651}}', ''), '{_MARK}(\n?)$', '\1') AS bare FROM word WHERE arabic IS NOT NULL")
